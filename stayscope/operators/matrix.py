@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from stayscope.config import FeatureSet
 from stayscope.operators.ordered import with_position, with_running_totals
 from stayscope.operators.skew import skew_join
-from stayscope.storage import new_path
+from stayscope.storage import materialise, new_path
 
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -120,11 +120,13 @@ def to_vectors(
 
 
 def feature_matrix(tuples: DataFrame, labels: DataFrame, id_col: str = "id") -> DataFrame:
-    """Dictionary, indexing, grouping and labels in one call."""
-    dictionary = feature_dictionary(tuples)
-    return to_vectors(
-        index_tuples(tuples, dictionary), dictionary.count(), labels, id_col
-    )
+    """Dictionary, indexing, grouping and labels in one call.
+
+    The tuples are written once: both the dictionary and the indexing read them.
+    """
+    stored = materialise(tuples.select(id_col, "feature", "value"), "tuples")
+    dictionary = feature_dictionary(stored)
+    return to_vectors(index_tuples(stored, dictionary), dictionary.count(), labels, id_col)
 
 
 def set_dictionaries(tuples: DataFrame, sets: Sequence[FeatureSet]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stayscope import schemas
 from stayscope.functions import dates, values
-from stayscope.sources.delimited import read_csv_table
+from stayscope.sources.delimited import read_csv_table, read_multiline_table
 
 
 @dataclass
@@ -30,9 +30,12 @@ class Inputs:
         return {name: table for name, table in present if table is not None}
 
 
-def _source(spark: SparkSession, directory: str, table: str, multiline: bool = False) -> DataFrame:
-    path = f"{directory.rstrip('/')}/{schemas.SOURCE_FILES[table]}"
-    return read_csv_table(spark, path, multiline=multiline)
+def _path(directory: str, table: str) -> str:
+    return f"{directory.rstrip('/')}/{schemas.SOURCE_FILES[table]}"
+
+
+def _source(spark: SparkSession, directory: str, table: str) -> DataFrame:
+    return read_csv_table(spark, _path(directory, table))
 
 
 def _ids(*columns: str) -> list[Column]:
@@ -143,8 +146,11 @@ def medications_from(raw: DataFrame) -> DataFrame:
 
 
 def load_notes(spark: SparkSession, directory: str) -> DataFrame:
-    """Free text without discharge summaries, dated by chart time or else chart date."""
-    return notes_from(_source(spark, directory, "notes", multiline=True))
+    """Free text without discharge summaries, dated by chart time or else chart date.
+
+    Texts come out on one line; a large file is still read by many tasks.
+    """
+    return notes_from(read_multiline_table(spark, _path(directory, "notes")))
 
 
 def notes_from(raw: DataFrame) -> DataFrame:

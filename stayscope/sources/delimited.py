@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from stayscope.functions import values
+from stayscope.operators.ordered import with_position
 
 _TABLE_NAME = r"(\w+)(\.csv)?$"
 
@@ -62,6 +63,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """``(line_no, line)`` over all files of :func:`read_lines`, in name and line order."""
+    return with_position(lines, ["file", "split", "row"], "line_no").select("line_no", "line")
+
+
 def join_quoted_lines(lines: DataFrame) -> DataFrame:
     """Rebuild records whose quoted fields span lines, keeping file splits parallel.
 
@@ -128,6 +134,18 @@ def parse_records(records: DataFrame, columns: list[str]) -> DataFrame:
     """Split one-line records into string columns; header lines are left out."""
     ddl = ", ".join(f"`{c}` STRING" for c in columns)
     header = ",".join(columns).lower()
-    plain = F.lower(F.translate(F.col("record"), '" ', ""))
+    plain = F.lower(F.translate(F.col("record"), '" \r', ""))
     row = F.from_csv(F.col("record"), ddl, {"mode": "PERMISSIVE"})
     return records.filter(plain != header).select(row.alias("row")).select("row.*")
+
+
+def read_multiline_table(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
+    """Header CSV whose quoted fields span lines, read split by split and flattened.
+
+    The splittable twin of ``read_csv_table(multiline=True)``: every column a string, one
+    line per record after :func:`join_quoted_lines`.
+    """
+    columns = spark.read.option("header", True).csv(path).columns
+    table = parse_records(join_quoted_lines(read_lines(spark, path)), columns)
+    table.createOrReplaceTempView(view or _inferred_name(spark, path))
+    return table

@@ -11,7 +11,7 @@ from stayscope.operators import events as ev
 from stayscope.operators import matrix as mx
 from stayscope.operators import scaling, split, static
 from stayscope.sources import libsvm, sinks
-from stayscope.storage import new_path
+from stayscope.storage import materialise, new_path
 from stayscope.workload import roles
 from stayscope.workload.cohort_queries import cohort, grid
 from stayscope.workload.registry import query
@@ -59,11 +59,17 @@ def all_tuples(spark, sf_dir):
 
 
 def dynamic_tuples(spark, sf_dir):
+    """Medication, lab and base tuples of one cohort."""
     members = cohort(spark, sf_dir)
     tuples = event_tuples(spark, sf_dir, members)
     return tuples["med"].unionByName(tuples["lab"]).unionByName(static.base_tuples(members))
 
 
+def stored_tuples(spark, sf_dir):
+    """The same, written once for queries that read them more than once."""
+    return materialise(dynamic_tuples(spark, sf_dir), "tuples")
+
+
 _DYNAMIC_SQL = f"""{roles.COHORT_SQL},{roles.CODES_SQL},{roles.EVENT_TUPLES_SQL},
 tuples AS (
   SELECT * FROM med_tuples UNION ALL SELECT * FROM lab_tuples
@@ -262,7 +268,7 @@ def feature_dictionary(spark, sf_dir):
     f"WITH {_DYNAMIC_SQL} SELECT id, idx, round(value, 6) AS value FROM indexed",
 )
 def feature_indexing(spark, sf_dir):
-    tuples = dynamic_tuples(spark, sf_dir)
+    tuples = stored_tuples(spark, sf_dir)
     return rounded(mx.index_tuples(tuples, mx.feature_dictionary(tuples)))
 
 
@@ -280,7 +286,7 @@ def entries(vectors, *keys):
     SELECT id, CAST(idx AS INT) AS idx, round(value, 6) AS value FROM indexed""",
 )
 def sparse_vectors(spark, sf_dir):
-    tuples = dynamic_tuples(spark, sf_dir)
+    tuples = stored_tuples(spark, sf_dir)
     dictionary = mx.feature_dictionary(tuples)
     rows = mx.sparse_rows(mx.index_tuples(tuples, dictionary), dictionary.count())
     return entries(rows, "id")
@@ -293,7 +299,7 @@ def sparse_vectors(spark, sf_dir):
     FROM indexed i JOIN cohort c ON i.id = c.id GROUP BY i.id, c.label""",
 )
 def label_join(spark, sf_dir):
-    tuples = dynamic_tuples(spark, sf_dir)
+    tuples = stored_tuples(spark, sf_dir)
     dictionary = mx.feature_dictionary(tuples)
     rows = mx.sparse_rows(mx.index_tuples(tuples, dictionary), dictionary.count())
     labelled = mx.join_labels(rows, cohort(spark, sf_dir))
@@ -408,7 +414,7 @@ def feature_stddev(spark, sf_dir):
     FROM tuples t JOIN stddevs s ON t.feature = s.feature""",
 )
 def scaled_features(spark, sf_dir):
-    tuples = dynamic_tuples(spark, sf_dir)
+    tuples = stored_tuples(spark, sf_dir)
     deviations = scaling.feature_stddev(tuples, cohort(spark, sf_dir).count())
     scaled = scaling.scale_tuples(tuples, deviations)
     return scaled.select("id", "feature", F.round("value", 4).alias("value"))
@@ -451,7 +457,7 @@ SELECT t.id, t.feature, round(t.value / l2, 6) AS l2_value, round(t.value / l1,
 FROM tuples t JOIN norms n ON t.id = n.id""",
 )
 def normalized_features(spark, sf_dir):
-    tuples = dynamic_tuples(spark, sf_dir)
+    tuples = stored_tuples(spark, sf_dir)
     doubled = scaling.normalize_tuples(tuples.withColumn("raw", F.col("value")), 2.0)
     both = scaling.normalize_tuples(
         doubled.withColumnRenamed("value", "l2_value").withColumnRenamed("raw", "value"), 1.0
@@ -474,7 +480,9 @@ SELECT 'in_stay_24h' AS cohort, c.feature_set, c.id, CAST(s.n AS INT) AS n_featu
 FROM chosen c JOIN named n USING (feature_set, feature) JOIN sizes s USING (feature_set)""",
 )
 def feature_store(spark, sf_dir):
-    tuples = all_tuples(spark, sf_dir).withColumn("cohort", F.lit("in_stay_24h"))
+    tuples = materialise(
+        all_tuples(spark, sf_dir).withColumn("cohort", F.lit("in_stay_24h")), "tuples"
+    )
     dictionaries = mx.set_dictionaries(tuples, config.FEATURE_SETS)
     rows = mx.set_rows(tuples, dictionaries, config.FEATURE_SETS)
     path = new_path(spark, "store")
@@ -499,7 +507,7 @@ def feature_store(spark, sf_dir):
 def flagship(spark, sf_dir):
     """Medications, measurements, age and sex known 24 hours into the last stay."""
     members = cohort(spark, sf_dir)
-    tuples = dynamic_tuples(spark, sf_dir)
+    tuples = stored_tuples(spark, sf_dir)
     named = mx.join_lookup(tuples, mx.feature_dictionary(tuples), ["feature"])
     labelled = mx.join_labels(named, members)
     return labelled.select("id", "label", "idx", "feature", F.round("value", 6).alias("value"))

@@ -1 +1,116 @@
-"""Placeholder."""
+"""Classifiers trained on the benchmark tables; rows only, as training is iterative."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from stayscope.config import IN_STAY
+from stayscope.operators import metrics, models, scaling, split
+from stayscope.plans import study
+from stayscope.storage import new_path
+from stayscope.workload import roles, text_queries
+from stayscope.workload.feature_queries import dynamic_matrix
+from stayscope.workload.registry import query
+
+
+def _scaled_split(spark, sf_dir):
+    train, test = split.split_by_hash(dynamic_matrix(spark, sf_dir))
+    return scaling.scale_features(train, test)
+
+
+@query("svm_scores")
+def svm_scores(spark, sf_dir):
+    train, test = _scaled_split(spark, sf_dir)
+    model = models.train_svm(train, "scaled", iterations=50)
+    return models.score(model, test, models.margin())
+
+
+@query("lr_scores")
+def lr_scores(spark, sf_dir):
+    train, test = _scaled_split(spark, sf_dir)
+    model = models.train_lr(train, "scaled")
+    return models.score(model, test, models.probability())
+
+
+@query("dt_scores")
+def dt_scores(spark, sf_dir):
+    train, test = _scaled_split(spark, sf_dir)
+    return models.score(models.train_dt(train, "scaled"), test, models.predicted_class())
+
+
+@query("rf_scores")
+def rf_scores(spark, sf_dir):
+    train, test = _scaled_split(spark, sf_dir)
+    return models.score(models.train_rf(train, "scaled"), test, models.predicted_class())
+
+
+@query(
+    "string_index",
+    f"""WITH {roles.COHORT_SQL},
+    sizes AS (SELECT label, count(*) AS n FROM cohort GROUP BY label)
+    SELECT id, label, CAST(dense_rank() OVER (ORDER BY n DESC) - 1 AS DOUBLE) AS indexed_label
+    FROM cohort JOIN sizes USING (label)""",
+)
+def string_index(spark, sf_dir):
+    from stayscope.workload.cohort_queries import cohort
+
+    labels = cohort(spark, sf_dir).select("id", "label")
+    indexed = models.index_labels(labels).transform(labels)
+    return indexed.select("id", "label", F.col("indexed_label").cast("double").alias("indexed_label"))
+
+
+@query("indexed_lr")
+def indexed_lr(spark, sf_dir):
+    data = dynamic_matrix(spark, sf_dir)
+    train, test = split.split_by_hash(data)
+    fitted = models.fit_indexed_lr(train, data).transform(test)
+    return fitted.select("id", "label", "prediction", "predicted_label")
+
+
+@query("cv_grid")
+def cv_grid(spark, sf_dir):
+    """Mean cross-validated area per regularisation strength."""
+    data = dynamic_matrix(spark, sf_dir)
+    train, _ = split.split_by_hash(data)
+    fitted = models.cross_validate(train.persist(), data, folds=3)
+    rows = list(zip(map(float, models.REG_GRID), map(float, fitted.avgMetrics)))
+    return spark.createDataFrame(rows, "reg double, mean_auc double")
+
+
+@query("model_run")
+def model_run(spark, sf_dir):
+    """One SVM from split to area under the curve."""
+    train, test = _scaled_split(spark, sf_dir)
+    model = models.train_svm(train, "scaled", iterations=50)
+    return metrics.auc(models.score(model, test, models.margin()))
+
+
+def _config(spark, **changes):
+    settings = dict(
+        feature_dir=new_path(spark, "features"),
+        output_dir=new_path(spark, "output"),
+        outcomes=roles.OUTCOMES,
+        score_names=roles.SCORE_NAMES,
+        flag_names=roles.FLAG_NAMES,
+        stop_words=tuple(text_queries.STOP_WORDS),
+        topics=5,
+        topic_iterations=3,
+        svm_iterations=10,
+        lr_iterations=20,
+        parallelism=8,
+    )
+    return study.StudyConfig(**{**settings, **changes})
+
+
+@query("model_grid")
+def model_grid(spark, sf_dir):
+    """Area under the curve of every cohort and note-free feature set."""
+    cfg = _config(spark, notes=False)
+    return study.run_all(spark, roles.inputs(spark, sf_dir), cfg)
+
+
+@query("staged_run")
+def staged_run(spark, sf_dir):
+    """Features with notes, held-out predictions by logistic regression, one outcome."""
+    cfg = _config(spark, outcomes=(IN_STAY,), hours=(24, 0), holdout=True)
+    return study.run_all(spark, roles.inputs(spark, sf_dir), cfg)

@@ -1 +1,166 @@
-"""Placeholder."""
+"""Text operators on documents and conversations."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from stayscope.functions import text as tx
+from stayscope.operators import notes as nt
+from stayscope.storage import materialise
+from stayscope.workload import roles
+from stayscope.workload.registry import query
+
+# Frequent words of the four languages of the documents.
+STOP_WORDS = """
+    a about after all an and are as at be by for from has in is it its not of on or that the
+    this to was with de des du en la le les que un une der die das ist nicht und von zu con del
+    el los las por para Patient NOTE
+""".split()
+
+
+def documents(spark, sf_dir):
+    return roles.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+
+
+def _sql_list(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+# RE2 writes the same punctuation class with every special character escaped.
+_PUNCTUATION_SQL = r"""[ !"#$%&''()*+,\-./:;<=>?@\[\\\]^_`{}~−]"""
+
+
+def _clean_sql(text: str) -> str:
+    for pattern in (_PUNCTUATION_SQL, *tx.CLEANING_PASSES[1:]):
+        text = f"regexp_replace({text}, '{pattern}', ' ', 'g')"
+    return text
+
+
+_WORDS_SQL = f"""
+words AS (
+  SELECT id, word FROM (
+    SELECT doc_id AS id,
+           unnest(regexp_split_to_array(lower({_clean_sql("text")}), '\\s+')) AS word
+    FROM documents) WHERE length(word) >= 1),
+kept AS (SELECT * FROM words WHERE word NOT IN ({_sql_list(w.lower() for w in STOP_WORDS)})),
+counts AS (SELECT id, word AS term, count(*) AS n FROM kept GROUP BY id, word)"""
+
+_VOCABULARY_SQL = f"""{_WORDS_SQL},
+vocab AS (
+  SELECT term, CAST(sum(n) AS BIGINT) AS total, count(*) AS documents,
+         row_number() OVER (ORDER BY sum(n) DESC, term) - 1 AS idx
+  FROM counts GROUP BY term)"""
+
+
+def counts(spark, sf_dir):
+    return nt.term_counts(documents(spark, sf_dir), stop_words=STOP_WORDS)
+
+
+@query(
+    "clean_text",
+    f"SELECT doc_id, md5({_clean_sql('text')}) AS cleaned_md5 FROM documents",
+)
+def clean_text(spark, sf_dir):
+    docs = roles.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.md5(tx.clean_text(F.col("text"))).alias("cleaned_md5"))
+
+
+@query(
+    "tokenize_docs",
+    f"WITH {_WORDS_SQL} SELECT id, count(*) AS n_tokens, count(DISTINCT word) AS n_terms FROM words GROUP BY id",
+)
+def tokenize_docs(spark, sf_dir):
+    words = F.array_distinct("words")
+    split = documents(spark, sf_dir).select("id", tx.tokens(tx.clean_text(F.col("text"))).alias("words"))
+    return split.filter(F.size("words") > 0).select(
+        "id",
+        F.size("words").cast("long").alias("n_tokens"),
+        F.size(words).cast("long").alias("n_terms"),
+    )
+
+
+@query(
+    "stopword_filter",
+    f"""WITH {_WORDS_SQL}
+    SELECT w.id, w.n - coalesce(k.n, 0) AS n_dropped, coalesce(k.n, 0) AS n_kept
+    FROM (SELECT id, count(*) AS n FROM words GROUP BY id) w
+    LEFT JOIN (SELECT id, count(*) AS n FROM kept GROUP BY id) k ON w.id = k.id""",
+)
+def stopword_filter(spark, sf_dir):
+    split = documents(spark, sf_dir).select("id", tx.tokens(tx.clean_text(F.col("text"))).alias("words"))
+    both = split.withColumn("kept", tx.without_stop_words(F.col("words"), STOP_WORDS))
+    return both.filter(F.size("words") > 0).select(
+        "id",
+        (F.size("words") - F.size("kept")).cast("long").alias("n_dropped"),
+        F.size("kept").cast("long").alias("n_kept"),
+    )
+
+
+@query("term_counts", f"WITH {_WORDS_SQL} SELECT id, term, n FROM counts")
+def term_counts(spark, sf_dir):
+    return counts(spark, sf_dir)
+
+
+@query(
+    "corpus_stats",
+    f"""WITH {_WORDS_SQL}
+    SELECT count(DISTINCT id) AS n_documents, count(*) AS n_pairs, CAST(sum(n) AS BIGINT) AS n_tokens
+    FROM counts""",
+)
+def corpus_stats(spark, sf_dir):
+    return nt.corpus_stats(counts(spark, sf_dir))
+
+
+@query("vocabulary", f"WITH {_VOCABULARY_SQL} SELECT term, total, documents, idx FROM vocab")
+def vocabulary(spark, sf_dir):
+    return nt.vocabulary(counts(spark, sf_dir))
+
+
+@query(
+    "note_vectors",
+    f"""WITH {_VOCABULARY_SQL}
+    SELECT c.id, CAST(v.idx AS INT) AS idx, CAST(c.n AS DOUBLE) AS value
+    FROM counts c JOIN vocab v ON c.term = v.term""",
+)
+def note_vectors(spark, sf_dir):
+    found = materialise(counts(spark, sf_dir), "terms")
+    vocab = nt.vocabulary(found)
+    rows = nt.sparse_rows(nt.index_terms(found, vocab), vocab.count())
+    pairs = F.arrays_zip("features.indices", "features.values")
+    return rows.select("id", F.explode(pairs).alias("_e")).select(
+        "id", F.col("_e.indices").alias("idx"), F.col("_e.values").alias("value")
+    )
+
+
+@query(
+    "concat_notes",
+    """SELECT conv_id AS id, 0 AS piece, count(*) AS n_notes,
+      md5(string_agg(text, ' ' ORDER BY turn)) AS text_md5 FROM conversations GROUP BY conv_id""",
+)
+def concat_notes(spark, sf_dir):
+    turns = roles.notes(spark, sf_dir)
+    sizes = turns.groupBy("id").agg(F.count(F.lit(1)).alias("n_notes"))
+    joined = nt.concat_notes(turns, ["turn"]).join(sizes, "id")
+    return joined.select("id", "piece", "n_notes", F.md5("text").alias("text_md5"))
+
+
+def _topic_model(spark, sf_dir):
+    """Few topics and iterations: the model's own results have no SQL twin to compare with."""
+    found = materialise(
+        nt.term_counts(roles.notes(spark, sf_dir), stop_words=STOP_WORDS, inner=True), "terms"
+    )
+    vocab = nt.vocabulary(found)
+    vectors = nt.note_vectors(found, vocab)
+    return nt.fit_topics(vectors, k=5, iterations=5), vectors, vocab
+
+
+@query("note_topics")
+def note_topics(spark, sf_dir):
+    model, vectors, _ = _topic_model(spark, sf_dir)
+    return nt.topic_weights(model, vectors)
+
+
+@query("topic_terms")
+def topic_terms(spark, sf_dir):
+    model, _, vocab = _topic_model(spark, sf_dir)
+    return nt.topic_terms(model, vocab)
