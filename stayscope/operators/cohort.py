@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stayscope import schemas
 from stayscope.config import RETROSPECTIVE, Cohort, Outcome, cohort_specs
 from stayscope.functions import dates
 
@@ -48,58 +49,62 @@ def anchored_entities(
     return joined
 
 
-def meets_outcome(outcome: Outcome) -> Column:
-    """Whether the terminal date falls into the outcome's window; the flag is separate."""
-    dod, start, end = F.col("dod"), F.col("in_ts"), F.col("out_ts")
+def outcome_sql(outcome: Outcome) -> str:
+    """Condition: flagged, and the terminal date falls into the outcome's window."""
     if outcome.in_stay:
-        return dod.between(start, end)
-    gap = dates.full_days(dod, end)
-    window = (dod > end) & (gap <= outcome.within_days)
-    return window if outcome.beyond_days is None else window & (gap > outcome.beyond_days)
+        window = "dod BETWEEN in_ts AND out_ts"
+    else:
+        days = "extract(DAY FROM dod - out_ts)"
+        window = f"dod > out_ts AND {days} <= {outcome.within_days}"
+        if outcome.beyond_days is not None:
+            window += f" AND {days} > {outcome.beyond_days}"
+    return f"coalesce(is_dead <> 0 AND {window}, false)"
 
 
 def label_of(outcome: Outcome, excluding: Sequence[Outcome] = ()) -> Column:
     """1.0 for a positive, else 0.0; null for entities positive under ``excluding``."""
-    positive = (F.col("is_dead") != 0) & meets_outcome(outcome)
-    label = F.coalesce(positive, F.lit(False)).cast("double")
+    label = f"CAST({outcome_sql(outcome)} AS DOUBLE)"
     for other in excluding:
-        already = F.coalesce((F.col("is_dead") != 0) & meets_outcome(other), F.lit(False))
-        label = F.when(~already, label)
-    return label
+        label = f"CASE WHEN NOT {outcome_sql(other)} THEN {label} END"
+    return F.expr(label)
 
 
-def index_date(cohort: Cohort) -> Column:
+def index_sql(cohort: Cohort) -> str:
     """The moment up to which a cohort may know things; fixed for entities with no stay."""
-    start, end, dod = F.col("in_ts"), F.col("out_ts"), F.col("dod")
     if cohort.hours == RETROSPECTIVE:
         window = cohort.outcome.within_days or 0
-        known = F.when(label_of(cohort.outcome) == 1.0, dod).otherwise(dates.plus_days(end, window))
+        known = (
+            f"CASE WHEN {outcome_sql(cohort.outcome)} THEN dod "
+            f"ELSE out_ts + INTERVAL '{window}' DAY END"
+        )
     else:
-        known = F.least(dates.plus_hours(start, cohort.hours), end, dod)
-    return F.when(start.isNotNull(), known).otherwise(dates.unset_index())
+        known = f"least(in_ts + INTERVAL '{cohort.hours}' HOUR, out_ts, dod)"
+    unset = f"TIMESTAMP_NTZ '{schemas.UNSET_INDEX}'"
+    return f"CASE WHEN in_ts IS NULL THEN {unset} ELSE {known} END"
+
+
+def index_date(cohort: Cohort) -> Column:
+    return F.expr(index_sql(cohort))
 
 
 def _members(anchored: DataFrame, id_col: str, specs: Sequence[Cohort], excluding) -> DataFrame:
     """All requested cohorts from one pass: one row per entity and cohort."""
-    rows = [
-        F.struct(
-            F.lit(c.name).alias("cohort"),
-            F.lit(c.outcome.name).alias("outcome"),
-            F.lit(c.horizon).alias("horizon"),
-            label_of(c.outcome, [o for o in excluding if o != c.outcome]).alias("label"),
-            index_date(c).alias("index_ts"),
-        )
-        for c in specs
+    outcomes = list(dict.fromkeys(c.outcome for c in specs))
+    labels = [
+        label_of(o, [e for e in excluding if e != o]).alias(f"_label_{k}")
+        for k, o in enumerate(outcomes)
     ]
-    spread = anchored.withColumn("_cohorts", F.explode(F.array(*rows)))
-    return spread.select(
-        id_col,
-        "is_male",
-        "dob",
-        "dod",
-        "_cohorts.*",
-        dates.full_years(F.col("_cohorts.index_ts"), F.col("dob")).alias("age"),
-    ).filter(F.col("label").isNotNull())
+    rows = ", ".join(
+        f"struct('{c.name}' AS cohort, '{c.outcome.name}' AS outcome, '{c.horizon}' AS horizon, "
+        f"_label_{outcomes.index(c.outcome)} AS label, {index_sql(c)} AS index_ts)"
+        for c in specs
+    )
+    spread = anchored.select("*", *labels).select(
+        id_col, "is_male", "dob", "dod", F.expr(f"inline(array({rows}))")
+    )
+    return spread.filter("label IS NOT NULL").withColumn(
+        "age", dates.full_years(F.col("index_ts"), F.col("dob"))
+    )
 
 
 def cohort_grid(

@@ -73,11 +73,13 @@ def _known_events(
     return skew_join(events, cutoffs, id_col, F.col(ts_col) <= last, **skew)
 
 
-def _spread(wide: DataFrame, id_col: str, names: Sequence[str], value) -> DataFrame:
+def _spread(wide: DataFrame, id_col: str, names: Sequence[str], value: str) -> DataFrame:
     """One row per cohort from per-cohort columns; cohorts that saw nothing drop out."""
-    cells = [F.struct(F.lit(n).alias("cohort"), value(n).alias("value")) for n in names]
-    long = wide.select(id_col, "feature", F.inline(F.array(*cells)))
-    return long.filter(F.col("value").isNotNull()).select("cohort", id_col, "feature", "value")
+    cells = ", ".join(
+        f"struct('{n}' AS cohort, {value.format(f'`{n}`')} AS value)" for n in names
+    )
+    long = wide.select(id_col, "feature", F.expr(f"inline(array({cells}))"))
+    return long.filter("value IS NOT NULL").select("cohort", id_col, "feature", "value")
 
 
 def count_features_grid(
@@ -96,11 +98,9 @@ def count_features_grid(
     cutoffs sit side by side in one row per entity and become conditional counts.
     """
     known = _known_events(_named(events, prefix, code_col), cutoffs, names, id_col, ts_col, skew)
-    seen = [F.count_if(F.col(ts_col) <= F.col(n)).alias(n) for n in names]
+    seen = [F.expr(f"count_if(`{ts_col}` <= `{n}`) AS `{n}`") for n in names]
     wide = known.groupBy(id_col, "feature").agg(*seen)
-    return _spread(
-        wide, id_col, names, lambda n: F.when(F.col(n) > 0, F.col(n).cast("double"))
-    )
+    return _spread(wide, id_col, names, "CAST(nullif({0}, 0) AS DOUBLE)")
 
 
 def mean_features_grid(
@@ -120,6 +120,8 @@ def mean_features_grid(
     if measured_col is not None:
         named = named.filter(F.col(measured_col))
     known = _known_events(named, cutoffs, names, id_col, ts_col, skew)
-    means = [F.avg(F.when(F.col(ts_col) <= F.col(n), F.col(value_col))).alias(n) for n in names]
+    means = [
+        F.expr(f"avg(CASE WHEN `{ts_col}` <= `{n}` THEN `{value_col}` END) AS `{n}`") for n in names
+    ]
     wide = known.groupBy(id_col, "feature").agg(*means)
-    return _spread(wide, id_col, names, F.col)
+    return _spread(wide, id_col, names, "{0}")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from stayscope import schemas
 from stayscope.functions import text as tx
@@ -65,7 +65,7 @@ def note_tokens(
     text = F.col(text_col)
     if inner:
         text = F.concat(F.lit(" "), text, F.lit(" "))
-    words = tx.without_stop_words(tx.tokens(tx.clean_text(text)), stop_words)
+    words = tx.tokens(tx.clean_text(text), stop_words)
     return notes.select(*keep, F.explode(words).alias("term"))
 
 
@@ -99,7 +99,7 @@ def term_counts_grid(
     known = skew_join(notes, cutoffs, id_col, F.col(ts_col) <= last, **skew)
     words = note_tokens(known, [id_col, ts_col, *names], text_col, stop_words, inner=True)
     return words.groupBy(id_col, "term").agg(
-        *[F.count_if(F.col(ts_col) <= F.col(n)).alias(n) for n in names]
+        *[F.expr(f"count_if(`{ts_col}` <= `{n}`) AS `{n}`") for n in names]
     )
 
 
@@ -109,8 +109,7 @@ def vocabulary(
     """The ``size`` most frequent terms by total count, indexed in that order."""
     totals = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count("n").alias("documents"))
     frequent = totals.filter(F.col("documents") >= min_documents)
-    order: list[Column] = [F.desc("total"), F.asc("term")]
-    return with_position(frequent.orderBy(*order).limit(size), order)
+    return with_position(frequent, [F.desc("total"), F.asc("term")]).filter(F.col("idx") < size)
 
 
 def corpus_stats(counts: DataFrame, id_col: str = "id") -> DataFrame:

@@ -19,65 +19,57 @@ _BLOCK = "_block"
 _ROW_BITS = 33
 
 
-def _shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _offsets(stored: DataFrame, totals: dict[str, Column]) -> dict[str, Column]:
+    """Per total, the sum over all earlier blocks as a lookup by block number.
 
-
-def _with_offsets(stored: DataFrame, totals: dict[str, Column]) -> DataFrame:
-    """Add ``_before_<name>``: the sum over all earlier blocks."""
+    The block sums come to the driver: one row of numbers per partition of the range
+    shuffle, so never more than ``spark.sql.shuffle.partitions`` rows.
+    """
     sums = [total.alias(name) for name, total in totals.items()]
-    blocks = stored.groupBy(_BLOCK).agg(*sums)
-    # One row per shuffle partition: small whatever the data, hence window and broadcast.
-    earlier = Window.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
-        _BLOCK, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_before_{n}") for n in totals]
-    )
-    return stored.join(F.broadcast(offsets), _BLOCK)
+    blocks = sorted(stored.groupBy(_BLOCK).agg(*sums).collect(), key=lambda r: r[_BLOCK])
+    size = blocks[-1][_BLOCK] + 1 if blocks else 0
+    lookups = {}
+    for name in totals:
+        before, table, at = 0, [0] * size, 0
+        for block in blocks:
+            for gap in range(at, block[_BLOCK] + 1):
+                table[gap] = before
+            at = block[_BLOCK] + 1
+            before += block[name] or 0
+        numbers = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+        lookups[name] = F.get(numbers, F.col(_BLOCK).cast("int"))
+    return lookups
 
 
 def with_position(df: DataFrame, order: Sequence[str | Column], name: str = "idx") -> DataFrame:
     """Add the 0-based position of each row in ``order``, dense over the whole table."""
     placed = (
-        df.repartitionByRange(_shuffle_partitions(df), *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_row", F.monotonically_increasing_id())
         .withColumn(_BLOCK, F.shiftright("_row", _ROW_BITS))
     )
     stored = materialise(placed, "positions")
     local = F.col("_row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    counted = _with_offsets(stored, {"n": F.count(F.lit(1))})
-    return counted.withColumn(name, F.col("_before_n") + local).drop("_row", _BLOCK, "_before_n")
+    offset = _offsets(stored, {"n": F.count(F.lit(1))})["n"]
+    return stored.select(*df.columns, (offset + local).alias(name))
 
 
 def with_running_totals(
     df: DataFrame, order: Sequence[str | Column], totals: dict[str, Column]
 ) -> DataFrame:
-    """Add, per entry of ``totals``, the sum over all rows strictly earlier in ``order``.
+    """Add, per entry of ``totals``, the integer sum over all rows strictly earlier in ``order``.
 
     ``order`` must be unique per row; aggregate ties first.
     """
-    placed = df.repartitionByRange(_shuffle_partitions(df), *order).withColumn(
-        _BLOCK, F.spark_partition_id()
-    )
+    placed = df.repartitionByRange(*order).withColumn(_BLOCK, F.spark_partition_id())
     stored = materialise(placed, "totals")
+    offsets = _offsets(stored, {name: F.sum(value) for name, value in totals.items()})
     earlier = (
         Window.partitionBy(_BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    summed = _with_offsets(stored, {name: F.sum(value) for name, value in totals.items()})
-    for name, value in totals.items():
-        local = F.coalesce(F.sum(value).over(earlier), F.lit(0))
-        summed = summed.withColumn(name, F.col(f"_before_{name}") + local)
-    return summed.drop(_BLOCK, *[f"_before_{name}" for name in totals])
-
-
-def position_within(
-    df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "idx"
-) -> DataFrame:
-    """Add the 0-based position inside each group of a bounded number of groups."""
-    placed = with_position(df, [*groups, *order], "_global")
-    first = placed.groupBy(*groups).agg(F.min("_global").alias("_first"))
-    return (
-        placed.join(first, list(groups))
-        .withColumn(name, F.col("_global") - F.col("_first"))
-        .drop("_global", "_first")
-    )
+    before = [
+        (offsets[name] + F.coalesce(F.sum(value).over(earlier), F.lit(0))).alias(name)
+        for name, value in totals.items()
+    ]
+    return stored.select(*df.columns, *before)

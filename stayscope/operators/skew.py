@@ -8,6 +8,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_HOT_KEYS = 10_000
 MIN_HOT_ROWS = 1_000_000
+SMALL_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate; for scans and filters it follows from the file sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def hot_keys(
@@ -38,14 +44,19 @@ def skew_join(
     residual: Column | None = None,
     max_keys: int = MAX_HOT_KEYS,
     min_rows: int = MIN_HOT_ROWS,
+    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Inner equi-join of ``many`` with ``one``, which holds one row per key.
 
     Rows with a hot key never travel: the few matching rows of ``one`` (no more than
     ``max_keys``) are broadcast to them. The rest is an ordinary join on the key, for
-    which Catalyst and AQE choose the strategy.
+    which Catalyst and AQE choose the strategy. Below ``small_bytes`` even a single key
+    fits one task, and looking for hot keys would only cost another scan.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if estimated_bytes(many) <= small_bytes:
+        joined = many.join(one, keys)
+        return joined if residual is None else joined.filter(residual)
     hot = hot_keys(many, keys, max_keys, min_rows)
     hot_one = one.join(F.broadcast(hot), keys, "left_semi")
     hot_rows = many.join(F.broadcast(hot_one), keys)

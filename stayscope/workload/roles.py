@@ -7,8 +7,9 @@ Order lines are score rows and orders flag rows of customers. Conversation turns
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from stayscope import schemas
 from stayscope.config import IN_STAY, Outcome, cohort_specs
 from stayscope.functions import dates
 from stayscope.sources.clinical import Inputs
@@ -35,8 +36,15 @@ FLAG_NAMES = {
 _SPLIT_DAY = "2024-01-20 00:00:00"
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A benchmark table; its schema is looked up in the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _code() -> Column:
@@ -48,32 +56,32 @@ def _events(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    late = (F.col("event_type") == "purchase") & (F.col("ts") >= dates.timestamp_lit(_SPLIT_DAY))
-    users = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("id")).agg(
-        F.min(F.when(late, F.col("ts"))).alias("first_late")
-    )
-    flag = F.col("id") % 3 != 0
-    birth = dates.timestamp_lit("1950-01-01 00:00:00") + F.make_dt_interval(
-        (100 * (F.col("id") % 250)).cast("int")
+    users = table(spark, sf_dir, "events").groupBy("user_id").agg(
+        F.expr(
+            f"""min(CASE WHEN event_type = 'purchase' AND ts >= TIMESTAMP_NTZ '{_SPLIT_DAY}'
+                THEN ts END) AS first_late"""
+        )
     )
-    return users.select(
-        "id",
-        (F.col("id") % 2 == 0).alias("is_male"),
-        birth.alias("dob"),
-        flag.cast("double").alias("is_dead"),
-        F.coalesce(F.when(flag, F.col("first_late")), dates.open_end()).alias("dod"),
+    return users.selectExpr(
+        "user_id AS id",
+        "user_id % 2 = 0 AS is_male",
+        """TIMESTAMP_NTZ '1950-01-01 00:00:00'
+           + make_dt_interval(CAST(100 * (user_id % 250) AS INT)) AS dob""",
+        "CAST(user_id % 3 <> 0 AS DOUBLE) AS is_dead",
+        f"""coalesce(CASE WHEN user_id % 3 <> 0 THEN first_late END,
+            TIMESTAMP_NTZ '{schemas.OPEN_END}') AS dod""",
     )
 
 
 def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     stays = _events(spark, sf_dir, "signup").filter(
-        (F.col("ts") < dates.timestamp_lit(_SPLIT_DAY)) & (F.col("user_id") % 10 != 0)
+        f"ts < TIMESTAMP_NTZ '{_SPLIT_DAY}' AND user_id % 10 <> 0"
     )
-    return stays.select(
-        F.col("user_id").alias("id"),
-        F.col("event_id").alias("episode_id"),
-        F.col("ts").alias("in_ts"),
-        dates.plus_hours(F.col("ts"), 48).alias("out_ts"),
+    return stays.selectExpr(
+        "user_id AS id",
+        "event_id AS episode_id",
+        "ts AS in_ts",
+        "ts + INTERVAL '48' HOUR AS out_ts",
     )
 
 

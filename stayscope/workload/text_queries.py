@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stayscope.functions import text as tx
 from stayscope.operators import notes as nt
+from stayscope.sources.scan import spread_scan
 from stayscope.storage import materialise
 from stayscope.workload import roles
 from stayscope.workload.registry import query
@@ -19,19 +20,20 @@ STOP_WORDS = """
 
 
 def documents(spark, sf_dir):
-    return roles.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = roles.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return spread_scan(docs, "id")
 
 
 def _sql_list(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
-# RE2 writes the same punctuation class with every special character escaped.
+# The same passes for RE2, which has no look-behind.
 _PUNCTUATION_SQL = r"""[ !"#$%&''()*+,\-./:;<=>?@\[\\\]^_`{}~−]"""
 
 
 def _clean_sql(text: str) -> str:
-    for pattern in (_PUNCTUATION_SQL, *tx.CLEANING_PASSES[1:]):
+    for pattern in (_PUNCTUATION_SQL, r"\w*\d\w*", tx.LONE_LETTER, tx.LONE_LETTER):
         text = f"regexp_replace({text}, '{pattern}', ' ', 'g')"
     return text
 
@@ -61,8 +63,8 @@ def counts(spark, sf_dir):
     f"SELECT doc_id, md5({_clean_sql('text')}) AS cleaned_md5 FROM documents",
 )
 def clean_text(spark, sf_dir):
-    docs = roles.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.md5(tx.clean_text(F.col("text"))).alias("cleaned_md5"))
+    cleaned = F.md5(tx.clean_text(F.col("text"))).alias("cleaned_md5")
+    return documents(spark, sf_dir).select(F.col("id").alias("doc_id"), cleaned)
 
 
 @query(
