@@ -87,8 +87,13 @@ def index_date(cohort: Cohort) -> Column:
     return F.expr(index_sql(cohort))
 
 
-def _members(anchored: DataFrame, id_col: str, specs: Sequence[Cohort], excluding) -> DataFrame:
-    """All requested cohorts from one pass: one row per entity and cohort."""
+def members(
+    anchored: DataFrame,
+    specs: Sequence[Cohort],
+    id_col: str = "id",
+    excluding: Sequence[Outcome] = (),
+) -> DataFrame:
+    """Cohorts of :func:`anchored_entities` in one pass: one row per entity and cohort."""
     outcomes = list(dict.fromkeys(c.outcome for c in specs))
     labels = [
         label_of(o, [e for e in excluding if e != o]).alias(f"_label_{k}")
@@ -107,6 +112,11 @@ def _members(anchored: DataFrame, id_col: str, specs: Sequence[Cohort], excludin
     )
 
 
+def cutoffs(anchored: DataFrame, specs: Sequence[Cohort], id_col: str = "id") -> DataFrame:
+    """Index dates of :func:`anchored_entities`, one column per cohort."""
+    return anchored.select(id_col, *[index_date(c).alias(c.name) for c in specs])
+
+
 def cohort_grid(
     entities: DataFrame,
     episodes: DataFrame,
@@ -121,7 +131,7 @@ def cohort_grid(
     the other outcomes; by default they stay as negatives.
     """
     anchored = anchored_entities(entities, episodes, id_col, precision)
-    return _members(anchored, id_col, specs or cohort_specs(), exclude_prior_outcome)
+    return members(anchored, specs or cohort_specs(), id_col, exclude_prior_outcome)
 
 
 def build_cohort(
@@ -149,7 +159,7 @@ def cohort_cutoffs(
 ) -> DataFrame:
     """One row per entity with one index date column per cohort, for one-pass event scans."""
     anchored = anchored_entities(entities, episodes, id_col, precision)
-    return anchored.select(id_col, *[index_date(c).alias(c.name) for c in specs or cohort_specs()])
+    return cutoffs(anchored, specs or cohort_specs(), id_col)
 
 
 def positive_counts(grid: DataFrame) -> DataFrame:

@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stayscope.operators.skew import skew_join
 
 
-def in_cohort(df: DataFrame, cohort: DataFrame, id_col: str = "id") -> DataFrame:
-    """Rows whose entity belongs to the cohort."""
-    members = cohort.select(id_col).distinct()
-    return df.join(members, id_col, "left_semi")
+def in_cohort(df: DataFrame, cohort: DataFrame, id_col: str = "id", **skew: int) -> DataFrame:
+    """Rows whose entity belongs to the cohort, which holds one row per entity."""
+    return skew_join(df, cohort.select(id_col), id_col, how="left_semi", **skew)
 
 
 def as_of(

@@ -97,9 +97,14 @@ def term_counts_grid(
     """
     last = F.greatest(*names) if len(names) > 1 else F.col(names[0])
     known = skew_join(notes, cutoffs, id_col, F.col(ts_col) <= last, **skew)
-    words = note_tokens(known, [id_col, ts_col, *names], text_col, stop_words, inner=True)
+    # One bit per cutoff, set before the text is split, keeps the token rows narrow.
+    bits = " + ".join(
+        f"CASE WHEN `{ts_col}` <= `{n}` THEN {1 << k}L ELSE 0L END" for k, n in enumerate(names)
+    )
+    seen = known.select(id_col, F.expr(f"{bits} AS _seen"), F.col(text_col).alias("_text"))
+    words = note_tokens(seen, [id_col, "_seen"], "_text", stop_words, inner=True)
     return words.groupBy(id_col, "term").agg(
-        *[F.expr(f"count_if(`{ts_col}` <= `{n}`) AS `{n}`") for n in names]
+        *[F.expr(f"count_if(_seen & {1 << k}L <> 0) AS `{n}`") for k, n in enumerate(names)]
     )
 
 

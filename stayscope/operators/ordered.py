@@ -27,7 +27,7 @@ def _offsets(stored: DataFrame, totals: dict[str, Column]) -> dict[str, Column]:
     """
     sums = [total.alias(name) for name, total in totals.items()]
     blocks = sorted(stored.groupBy(_BLOCK).agg(*sums).collect(), key=lambda r: r[_BLOCK])
-    size = blocks[-1][_BLOCK] + 1 if blocks else 0
+    size = blocks[-1][_BLOCK] + 1 if blocks else 1
     lookups = {}
     for name in totals:
         before, table, at = 0, [0] * size, 0

@@ -42,25 +42,27 @@ def skew_join(
     one: DataFrame,
     key: str | Sequence[str],
     residual: Column | None = None,
+    how: str = "inner",
     max_keys: int = MAX_HOT_KEYS,
     min_rows: int = MIN_HOT_ROWS,
     small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
-    """Inner equi-join of ``many`` with ``one``, which holds one row per key.
+    """Inner, semi or anti equi-join of ``many`` with ``one``, which holds one row per key.
 
     Rows with a hot key never travel: the few matching rows of ``one`` (no more than
     ``max_keys``) are broadcast to them. The rest is an ordinary join on the key, for
     which Catalyst and AQE choose the strategy. Below ``small_bytes`` even a single key
     fits one task, and looking for hot keys would only cost another scan.
     """
+    if how not in ("inner", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type: {how}")
     keys = [key] if isinstance(key, str) else list(key)
     if estimated_bytes(many) <= small_bytes:
-        joined = many.join(one, keys)
-        return joined if residual is None else joined.filter(residual)
-    hot = hot_keys(many, keys, max_keys, min_rows)
-    hot_one = one.join(F.broadcast(hot), keys, "left_semi")
-    hot_rows = many.join(F.broadcast(hot_one), keys)
-    cold_rows = many.join(F.broadcast(hot), keys, "left_anti").join(one, keys)
-    if residual is not None:
-        hot_rows, cold_rows = hot_rows.filter(residual), cold_rows.filter(residual)
-    return hot_rows.unionByName(cold_rows)
+        joined = many.join(one, keys, how)
+    else:
+        hot = F.broadcast(hot_keys(many, keys, max_keys, min_rows))
+        hot_one = F.broadcast(one.join(hot, keys, "left_semi"))
+        hot_rows = many.join(hot, keys, "left_semi").join(hot_one, keys, how)
+        cold_rows = many.join(hot, keys, "left_anti").join(one, keys, how)
+        joined = hot_rows.unionByName(cold_rows)
+    return joined if residual is None else joined.filter(residual)

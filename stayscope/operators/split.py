@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stayscope.operators.skew import skew_join
+
 _BUCKETS = 10_000
 
 
 def split_by_ids(
-    df: DataFrame, held_out_ids: DataFrame, id_col: str = "id"
+    df: DataFrame, held_out_ids: DataFrame, id_col: str = "id", **skew: int
 ) -> tuple[DataFrame, DataFrame]:
     """``(train, held_out)``: rows whose entity is not, or is, in the held-out list."""
     ids = held_out_ids.select(id_col).distinct()
-    return df.join(ids, id_col, "left_anti"), df.join(ids, id_col, "left_semi")
+    train = skew_join(df, ids, id_col, how="left_anti", **skew)
+    return train, skew_join(df, ids, id_col, how="left_semi", **skew)
 
 
 def split_bucket(id_col: Column, seed: int = 11) -> Column:

@@ -41,14 +41,14 @@ def event_tuples(spark, sf_dir, members=None):
 def all_tuples(spark, sf_dir):
     """Every family of the 24-hour in-stay cohort in one table."""
     members = cohort(spark, sf_dir)
-    scores = ev.in_cohort(roles.scores(spark, sf_dir), members)
-    flags = ev.in_cohort(roles.flags(spark, sf_dir), members)
+    scores = static.latest_scores(
+        roles.scores(spark, sf_dir), tie_break=["l_partkey", "l_suppkey"]
+    )
+    flags = static.latest_flags(roles.flags(spark, sf_dir))
     families = {
         "base": static.base_tuples(members),
-        "scores": static.wide_to_tuples(
-            static.latest_scores(scores, tie_break=["l_partkey", "l_suppkey"]), roles.SCORE_NAMES
-        ),
-        "flags": static.wide_to_tuples(static.latest_flags(flags), roles.FLAG_NAMES),
+        "scores": static.wide_to_tuples(ev.in_cohort(scores, members), roles.SCORE_NAMES),
+        "flags": static.wide_to_tuples(ev.in_cohort(flags, members), roles.FLAG_NAMES),
         **event_tuples(spark, sf_dir, members),
     }
     merged = None
