@@ -29,9 +29,8 @@ def _cutoffs(spark, sf_dir):
     )
 
 
-def event_tuples(spark, sf_dir, members=None):
-    """Diagnosis, medication and lab tuples of the 24-hour in-stay cohort."""
-    members = cohort(spark, sf_dir) if members is None else members
+def event_tuples(spark, sf_dir, members):
+    """Diagnosis, medication and lab tuples of a cohort, each a plan of its own."""
     diag = ev.count_features(ev.as_of(roles.diagnoses(spark, sf_dir), members), "DIAG-")
     med = ev.count_features(ev.as_of(roles.medications(spark, sf_dir), members), "MED-")
     lab = ev.mean_features(ev.as_of(roles.labs(spark, sf_dir), members), "LAB-")
@@ -40,15 +39,16 @@ def event_tuples(spark, sf_dir, members=None):
 
 def all_tuples(spark, sf_dir):
     """Every family of the 24-hour in-stay cohort in one table."""
-    members = cohort(spark, sf_dir)
+    members = materialise(cohort(spark, sf_dir), "cohort")
+    ids = members.select("id")
     scores = static.latest_scores(
         roles.scores(spark, sf_dir), tie_break=["l_partkey", "l_suppkey"]
     )
     flags = static.latest_flags(roles.flags(spark, sf_dir))
     families = {
         "base": static.base_tuples(members),
-        "scores": static.wide_to_tuples(ev.in_cohort(scores, members), roles.SCORE_NAMES),
-        "flags": static.wide_to_tuples(ev.in_cohort(flags, members), roles.FLAG_NAMES),
+        "scores": static.wide_to_tuples(scores.join(ids, "id", "left_semi"), roles.SCORE_NAMES),
+        "flags": static.wide_to_tuples(flags.join(ids, "id", "left_semi"), roles.FLAG_NAMES),
         **event_tuples(spark, sf_dir, members),
     }
     merged = None
@@ -60,7 +60,7 @@ def all_tuples(spark, sf_dir):
 
 def dynamic_tuples(spark, sf_dir):
     """Medication, lab and base tuples of one cohort."""
-    members = cohort(spark, sf_dir)
+    members = materialise(cohort(spark, sf_dir), "cohort")
     tuples = event_tuples(spark, sf_dir, members)
     return tuples["med"].unionByName(tuples["lab"]).unionByName(static.base_tuples(members))
 
