@@ -10,6 +10,6 @@ from tests.check_queries import session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    spark = session(4)
+    spark = session(8)
     yield spark
     spark.stop()
