@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -17,6 +18,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stayscope.operators.skew import estimated_bytes
+
 # Training parameters of the standard models.
 SVM_ITERATIONS, SVM_REG = 1000, 0.01
 LR_ITERATIONS, LR_REG = 10_000, 0.0001
@@ -25,9 +28,17 @@ FOREST_TREES, FOREST_DEPTH = 10, 10
 INDEXED_LR = {"regParam": 0.001, "elasticNetParam": 0.0, "maxIter": 100, "tol": 1e-6}
 REG_GRID = (0.1, 0.01, 0.001, 0.0001)
 
+# Bytes of training data per partition; every optimiser step is one task per partition.
+PARTITION_BYTES = 32 * 1024 * 1024
+
 _BINARY = {"ml_attr": {"type": "nominal", "vals": ["0.0", "1.0"]}}
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """Merge partitions until each holds about :data:`PARTITION_BYTES`; never splits any."""
+    return df.coalesce(max(1, math.ceil(estimated_bytes(df) / PARTITION_BYTES)))
+
+
 def two_classes(df: DataFrame, label: str = "label") -> DataFrame:
     """Declare the label binary, so that a sample with one class still trains."""
     return df.withColumn(label, F.col(label).alias(label, metadata=_BINARY))
@@ -44,7 +55,7 @@ def train_svm(
         fitIntercept=False,
         standardization=False,
     )
-    return svm.fit(two_classes(train))
+    return svm.fit(two_classes(packed(train)))
 
 
 def train_lr(
@@ -59,14 +70,14 @@ def train_lr(
         fitIntercept=False,
         family="binomial",
     )
-    return lr.fit(two_classes(train))
+    return lr.fit(two_classes(packed(train)))
 
 
 def train_dt(train: DataFrame, features: str = "features") -> Model:
     tree = DecisionTreeClassifier(
         featuresCol=features, maxDepth=TREE_DEPTH, maxBins=TREE_BINS, impurity="gini"
     )
-    return tree.fit(two_classes(train))
+    return tree.fit(two_classes(packed(train)))
 
 
 def train_rf(train: DataFrame, features: str = "features", seed: int = 11) -> Model:
@@ -79,7 +90,7 @@ def train_rf(train: DataFrame, features: str = "features", seed: int = 11) -> Mo
         featureSubsetStrategy="auto",
         seed=seed,
     )
-    return forest.fit(two_classes(train))
+    return forest.fit(two_classes(packed(train)))
 
 
 def margin() -> Column:
@@ -120,7 +131,7 @@ def indexed_lr_stages(data: DataFrame, features: str = "features") -> Pipeline:
 
 def fit_indexed_lr(train: DataFrame, data: DataFrame) -> PipelineModel:
     """Fit :func:`indexed_lr_stages`; the indexers see all of ``data``."""
-    return indexed_lr_stages(data).fit(train)
+    return indexed_lr_stages(data).fit(packed(train))
 
 
 def hard_auc(predictions: DataFrame) -> float:
@@ -152,4 +163,4 @@ def cross_validate(
         seed=seed,
         parallelism=parallelism,
     )
-    return validator.fit(train)
+    return validator.fit(packed(train))

@@ -136,7 +136,7 @@ def note_vectors(spark, sf_dir):
 
 @query(
     "concat_notes",
-    """SELECT conv_id AS id, 0 AS piece, count(*) AS n_notes,
+    """SELECT conv_id AS id, CAST(0 AS BIGINT) AS piece, count(*) AS n_notes,
       md5(string_agg(text, ' ' ORDER BY turn)) AS text_md5 FROM conversations GROUP BY conv_id""",
 )
 def concat_notes(spark, sf_dir):
