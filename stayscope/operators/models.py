@@ -30,13 +30,18 @@ REG_GRID = (0.1, 0.01, 0.001, 0.0001)
 
 # Bytes of training data per partition; every optimiser step is one task per partition.
 PARTITION_BYTES = 32 * 1024 * 1024
+MAX_PARTITIONS = 1_000_000
 
 _BINARY = {"ml_attr": {"type": "nominal", "vals": ["0.0", "1.0"]}}
 
 
 def packed(df: DataFrame) -> DataFrame:
-    """Merge partitions until each holds about :data:`PARTITION_BYTES`; never splits any."""
-    return df.coalesce(max(1, math.ceil(estimated_bytes(df) / PARTITION_BYTES)))
+    """Merge partitions until each holds about :data:`PARTITION_BYTES`; never splits any.
+
+    A table of unknown size is estimated as huge and stays as it is.
+    """
+    wanted = math.ceil(estimated_bytes(df) / PARTITION_BYTES)
+    return df.coalesce(max(1, min(wanted, MAX_PARTITIONS)))
 
 
 def two_classes(df: DataFrame, label: str = "label") -> DataFrame:

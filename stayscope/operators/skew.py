@@ -53,6 +53,8 @@ def skew_join(
     ``max_keys``) are broadcast to them. The rest is an ordinary join on the key, for
     which Catalyst and AQE choose the strategy. Below ``small_bytes`` even a single key
     fits one task, and looking for hot keys would only cost another scan.
+
+    ``many`` is read up to three times: pass a scan or a written table, not a costly plan.
     """
     if how not in ("inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")

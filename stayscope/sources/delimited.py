@@ -92,30 +92,20 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
         .withColumn("_starts_if_closed", F.sum(1 - F.col("_open")).over(so_far))
         .withColumn("_starts_if_open", F.sum(F.col("_open")).over(so_far))
     )
-    splits = cleaned.groupBy("file", "split").agg(F.sum("_odd").alias("_odd"))
-    splits = splits.withColumn(
-        "_entered_open", F.coalesce(F.sum("_odd").over(earlier), F.lit(0)) % 2
-    )
-    ends = local.groupBy("file", "split").agg(
-        F.max("_starts_if_closed").alias("_closed"), F.max("_starts_if_open").alias("_opened")
+    splits = local.groupBy("file", "split").agg(
+        F.sum("_odd").alias("_odd"),
+        F.max("_starts_if_closed").alias("_closed"),
+        F.max("_starts_if_open").alias("_opened"),
     )
     offsets = (
-        splits.join(ends, ["file", "split"])
-        .withColumn("_starts", F.when(F.col("_entered_open") == 0, F.col("_closed")).otherwise(F.col("_opened")))
+        splits.withColumn("_entered_open", F.coalesce(F.sum("_odd").over(earlier), F.lit(0)) % 2)
+        .withColumn("_starts", F.expr("IF(_entered_open = 0, _closed, _opened)"))
         .withColumn("_offset", F.coalesce(F.sum("_starts").over(earlier), F.lit(0)))
         .select("file", "split", "_entered_open", "_offset")
     )
+    starts = F.expr("_offset + IF(_entered_open = 0, _starts_if_closed, _starts_if_open)")
     numbered = local.join(offsets, ["file", "split"]).select(
-        "file",
-        "split",
-        "row",
-        "line",
-        (
-            F.col("_offset")
-            + F.when(F.col("_entered_open") == 0, F.col("_starts_if_closed")).otherwise(
-                F.col("_starts_if_open")
-            )
-        ).alias("record_no"),
+        "file", "split", "row", "line", starts.alias("record_no")
     )
     joined = numbered.groupBy("file", "record_no").agg(
         F.array_sort(F.collect_list(F.struct("split", "row", "line"))).alias("parts")
