@@ -12,14 +12,14 @@ from stayscope.functions import dates
 
 
 def latest_by(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """The row with the greatest ``order`` of each key; ties are the caller's to break.
+    """The row with the greatest ``order`` of each key; ties fall to the greater other columns.
 
-    ``max_by`` combines on the map side, so a frequent key costs one row per map task.
+    The maximum combines on the map side, so a frequent key costs one row per map task.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*")
+    best = F.max(F.struct(F.struct(*order).alias("_order"), F.struct(*rest).alias("_row")))
+    return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best._row.*")
 
 
 def latest_episode(

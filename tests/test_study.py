@@ -34,7 +34,7 @@ def test_models_separate(separable, kind):
         "dt": (models.train_dt, models.predicted_class()),
         "rf": (models.train_rf, models.predicted_class()),
     }[kind]
-    options = {"iterations": 100} if kind in ("svm", "lr") else {}
+    options = {"iterations": 25} if kind in ("svm", "lr") else {}
     scored = models.score(fit(train, "scaled", **options), test, value)
     assert metrics.auc(scored).collect()[0]["auc"] > 0.95
 
