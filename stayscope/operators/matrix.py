@@ -57,11 +57,11 @@ def sparse_struct(size: Column, entries: Column) -> Column:
 
 
 def unique_entries(entries: Column) -> Column:
-    """The entries sorted by index; a repeated index is an error."""
-    indices = F.transform(entries, lambda e: e["idx"])
-    repeated = F.size(F.array_distinct(indices)) < F.size(indices)
+    """The entries as they are; a repeated ``idx`` is an error."""
+    positions = F.transform(entries, lambda e: e["idx"])
+    repeated = F.size(F.array_distinct(positions)) < F.size(positions)
     complaint = F.raise_error(F.lit("a feature occurs twice for one entity"))
-    return F.when(repeated, complaint).otherwise(F.array_sort(entries))
+    return F.when(repeated, complaint).otherwise(entries)
 
 
 def sparse_rows(
@@ -73,10 +73,10 @@ def sparse_rows(
     width of the dictionary.
     """
     grouped = indexed.groupBy(*keys).agg(
-        F.collect_list(F.struct(F.col("idx"), F.col("value"))).alias("_entries")
+        F.sort_array(F.collect_list(F.struct("idx", "value"))).alias("_entries")
     )
-    vector = sparse_struct(F.lit(n_features), unique_entries(F.col("_entries")))
-    return grouped.select(*keys, vector.alias(name))
+    checked = grouped.withColumn("_entries", unique_entries(F.col("_entries")))
+    return checked.select(*keys, sparse_struct(F.lit(n_features), F.col("_entries")).alias(name))
 
 
 def vector_schema(schema: T.StructType, name: str = "features") -> T.StructType:
@@ -132,14 +132,18 @@ def feature_matrix(tuples: DataFrame, labels: DataFrame, id_col: str = "id") ->
 def set_dictionaries(tuples: DataFrame, sets: Sequence[FeatureSet]) -> DataFrame:
     """Dictionaries of every cohort and feature set, from one sort.
 
-    One row per ``(cohort, family, feature)`` with arrays aligned to ``sets``: ``idx``, the
-    feature's index (null outside the set), and ``width``, the size of that dictionary.
+    One row per ``(cohort, family, feature)`` with its position ``idx`` among all names of the
+    cohort and two arrays aligned to ``sets``: ``set_idx``, the feature's index in the set
+    (null outside it), and ``width``, the size of that dictionary.
     """
     names = tuples.select("cohort", "family", "feature").distinct()
     member = [F.col("family").isin(list(s.families)).cast("int") for s in sets]
     totals = {f"_p{k}": m for k, m in enumerate(member)}
-    placed = with_running_totals(names, ["cohort", "feature", "family"], totals)
+    placed = with_running_totals(
+        names, ["cohort", "feature", "family"], {**totals, "_place": F.lit(1)}
+    )
     bounds = placed.groupBy("cohort").agg(
+        F.min("_place").alias("_first_place"),
         *[F.min(p).alias(f"_first{p}") for p in totals],
         *[F.sum(m).alias(f"_width{p}") for p, m in totals.items()],
     )
@@ -148,7 +152,12 @@ def set_dictionaries(tuples: DataFrame, sets: Sequence[FeatureSet]) -> DataFrame
     idx = [F.when(m == 1, F.col(p) - F.col(f"_first{p}")).cast("int") for p, m in totals.items()]
     width = [F.col(f"_width{p}").cast("int") for p in totals]
     return joined.select(
-        "cohort", "family", "feature", F.array(*idx).alias("idx"), F.array(*width).alias("width")
+        "cohort",
+        "family",
+        "feature",
+        (F.col("_place") - F.col("_first_place")).alias("idx"),
+        F.array(*idx).alias("set_idx"),
+        F.array(*width).alias("width"),
     )
 
 
@@ -166,18 +175,26 @@ def set_rows(
     """
     indexed = join_lookup(tuples, dictionaries, ["cohort", "family", "feature"], max_broadcast)
     grouped = indexed.groupBy("cohort", id_col).agg(
-        F.collect_list(F.struct("idx", "value")).alias("_entries"), F.first("width").alias("_width")
+        F.sort_array(F.collect_list(F.struct("idx", "set_idx", "value"))).alias("_entries"),
+        F.first("width").alias("_width"),
     )
-
-    def rows_of(k: int, s: FeatureSet) -> Column:
-        inside = F.filter("_entries", lambda e: e["idx"][k].isNotNull())
-        own = F.transform(
-            inside, lambda e: F.struct(e["idx"][k].alias("idx"), e["value"].alias("value"))
-        )
-        vector = sparse_struct(F.col("_width")[k], unique_entries(own))
-        return F.struct(F.lit(s.name).alias("feature_set"), vector.alias("features"))
-
-    exploded = grouped.select(
-        "cohort", id_col, F.inline(F.array(*[rows_of(k, s) for k, s in enumerate(sets)]))
+    # Names keep their order in every set, so the entries are sorted and checked once.
+    checked = grouped.withColumn("_entries", unique_entries(F.col("_entries")))
+    cut = checked.select(
+        "cohort",
+        id_col,
+        "_width",
+        *[
+            F.expr(f"filter(_entries, e -> e.set_idx[{k}] IS NOT NULL) AS _set_{k}")
+            for k in range(len(sets))
+        ],
+    )
+    vectors = ", ".join(
+        f"""struct('{s.name}' AS feature_set, struct(
+            0Y AS type, _width[{k}] AS size,
+            transform(_set_{k}, e -> e.set_idx[{k}]) AS indices,
+            transform(_set_{k}, e -> e.value) AS values) AS features)"""
+        for k, s in enumerate(sets)
     )
-    return exploded.filter(F.size("features.indices") > 0)
+    exploded = cut.select("cohort", id_col, F.expr(f"inline(array({vectors}))"))
+    return exploded.filter("size(features.indices) > 0")

@@ -112,7 +112,7 @@ def test_stages_one_and_two(spark, csv_dir, cfg):
     assert {r["family"] for r in day.collect()} == {"base", "scores", "flags", "diag", "med", "lab", "notes"}
     for k, s in enumerate(config.FEATURE_SETS):
         held = day.filter(F.col("family").isin(list(s.families)))
-        found = sorted((r["feature"], r["idx"][k]) for r in held.collect())
+        found = sorted((r["feature"], r["set_idx"][k]) for r in held.collect())
         assert [i for _, i in found] == list(range(len(found)))
         assert {r["width"][k] for r in held.collect()} == {len(found)}
 
@@ -120,7 +120,7 @@ def test_stages_one_and_two(spark, csv_dir, cfg):
         r["id"]: r
         for r in study.read_matrix(spark, f"{cfg.feature_dir}/train", "in_stay_24h", "all_features").collect()
     }
-    index = {r["feature"]: r["idx"][4] for r in day.collect()}
+    index = {r["feature"]: r["set_idx"][4] for r in day.collect()}
     nine = matrix["9"]["features"]
     # One lab before the cutoff, one missing value counted as zero, one after the cutoff.
     assert nine[index["LAB-50800"]] == 2.0
