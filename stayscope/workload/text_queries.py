@@ -47,11 +47,13 @@ words AS (
 kept AS (SELECT * FROM words WHERE word NOT IN ({_sql_list(w.lower() for w in STOP_WORDS)})),
 counts AS (SELECT id, word AS term, count(*) AS n FROM kept GROUP BY id, word)"""
 
+# The vocabulary keeps the most frequent terms; the smaller scales stay below its size.
 _VOCABULARY_SQL = f"""{_WORDS_SQL},
-vocab AS (
+ranked AS (
   SELECT term, CAST(sum(n) AS BIGINT) AS total, count(*) AS documents,
          row_number() OVER (ORDER BY sum(n) DESC, term) - 1 AS idx
-  FROM counts GROUP BY term)"""
+  FROM counts GROUP BY term),
+vocab AS (SELECT * FROM ranked WHERE idx < {nt.VOCABULARY_SIZE})"""
 
 
 def counts(spark, sf_dir):
