@@ -27,8 +27,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 QUALITY_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT doc_id, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws,
-      list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
       len(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
       len(t) - len(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols FROM d),
 g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS s
