@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayscope.llm import chat_fold, line_dedup, quality_ledger
+from stayscope.llm import chat_fold, line_dedup, quality_ledger, ring_shards
 from stayscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@query("op4_sharding")
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards whose counts differ by one at most."""
+    shards = ring_shards.shard_rows(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return shards.select(
+        "*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    )
