@@ -56,10 +56,8 @@ def _cells(spark, points: list[tuple[int, int]]) -> DataFrame:
     return spark.createDataFrame(rows, "cell bigint, points array<struct<point:bigint,arc:int>>")
 
 
-def placed(docs: DataFrame, shards: int, vnodes: int) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """Rows with their place on the ring: ``doc_id, size, text_crc32, at, arc``, and the points."""
-    spark = docs.sparkSession
-    points = ring(spark, shards, vnodes)
+def placed(docs: DataFrame, points: list[tuple[int, int]]) -> DataFrame:
+    """Rows with their place on the ring: ``doc_id, size, text_crc32, at, arc``."""
     text = text_or_empty()
     rows = docs.select(
         "doc_id",
@@ -69,10 +67,16 @@ def placed(docs: DataFrame, shards: int, vnodes: int) -> tuple[DataFrame, list[t
         .otherwise(F.xxhash64(F.lit("row"), "doc_id"))
         .alias("at"),
     )
+    return _on_arcs(rows, points)
+
+
+def _on_arcs(rows: DataFrame, points: list[tuple[int, int]]) -> DataFrame:
+    """``rows`` plus ``arc``, the arc of the ring that ``at`` lies on."""
+    spark = rows.sparkSession
     cells = F.broadcast(_cells(spark, points))  # 2^CELL_BITS rows at any size of the input
     cell = F.shiftright("at", 64 - CELL_BITS)
     arc = F.get(F.filter("points", lambda p: p["point"] >= F.col("at")), 0)["arc"]
-    return rows.withColumn("cell", cell).join(cells, "cell", "left").select(*rows.columns, arc.alias("arc")), points
+    return rows.withColumn("cell", cell).join(cells, "cell", "left").select(*rows.columns, arc.alias("arc"))
 
 
 def capacities(n: int, shards: int, slack: float) -> list[int]:
@@ -123,11 +127,14 @@ def shard_rows(
 ) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot``: slots of a shard run from 0 without gaps."""
     spark = docs.sparkSession
-    rows, points = placed(docs, shards, vnodes)
+    points = ring(spark, shards, vnodes)
+    rows = placed(docs, points)
     # Rows with an id are counted without reading their text; those without one apart.
+    with_id = docs.where(F.col("doc_id").isNotNull()).select(F.xxhash64(F.lit("row"), "doc_id").alias("at"))
+    without = placed(docs.where(F.col("doc_id").isNull()), points)
     homes: dict[int, int] = {}
-    for part in (F.col("doc_id").isNotNull(), F.col("doc_id").isNull()):
-        for r in placed(docs.where(part), shards, vnodes)[0].groupBy("arc").count().collect():
+    for part in (_on_arcs(with_id, points), without):
+        for r in part.groupBy("arc").count().collect():
             homes[r.arc] = homes.get(r.arc, 0) + r["count"]
     segments = flow(homes, points, capacities(sum(homes.values()), shards, slack))
     by_arc: dict[int, list] = {}
