@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
+#: Bytes of text that a Python kernel holds at once, unless one text alone is longer.
+BATCH_CHARS = 4_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -47,3 +54,55 @@ def prefixed(df: DataFrame, columns: list[str], prefix: str) -> tuple[DataFrame,
     """``df`` cut to ``columns`` under names that cannot clash with the caller's own."""
     names = [prefix + c for c in columns]
     return df.select(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)]), names
+
+
+def map_text(
+    docs: DataFrame, text_col: str, outputs: list[tuple[str, str]], start: Callable, keep_text: bool = True
+) -> DataFrame:
+    """``docs`` plus the columns that a Python kernel computes from each whole text, in Arrow batches.
+
+    ``start()`` runs once per task and returns the kernel, a function from a list of strings
+    (null given as empty) to one list per output. ``outputs`` are (name, type) pairs; they
+    replace columns of those names. Nothing is shuffled; all other columns pass through as they
+    are. Batches are bounded by rows and, as texts vary, cut further by characters.
+    """
+    made = {name for name, _ in outputs}
+    kept = [c for c in docs.columns if c not in made and (keep_text or c != text_col)]
+    given = docs.select(
+        F.col(f"`{text_col}`").cast("string").alias("t"),
+        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)],
+    )
+    schema = StructType(
+        [
+            *[StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(kept)],
+            *[StructField(f"o{i}", _parse_datatype_string(kind)) for i, (_, kind) in enumerate(outputs)],
+        ]
+    )
+    arrow = [to_arrow_schema(StructType([f])).field(0).type for f in schema.fields[len(kept) :]]
+    names = schema.names
+    limit = BATCH_CHARS
+
+    def run(batches):
+        kernel = start()
+        for batch in batches:
+            n, at = batch.num_rows, 0
+            sizes = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_pylist()
+            while at < n:
+                end, held = at + 1, sizes[at]
+                while end < n and held + sizes[end] <= limit:
+                    held += sizes[end]
+                    end += 1
+                part = batch.slice(at, end - at)
+                texts = [x or "" for x in part.column(0).to_pylist()]
+                made_now = [pa.array(x, type=t) for x, t in zip(kernel(texts), arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *made_now], names=names)
+                at = end
+
+    out = given.mapInArrow(run, schema)
+    return out.select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)],
+        *[F.col(f"o{i}").alias(name) for i, (name, _) in enumerate(outputs)],
+    )
+
+
+ship(__name__)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayscope.llm import chat_fold, line_dedup, quality_ledger, ring_shards
+from stayscope.llm import chat_fold, decontaminate, line_dedup, quality_ledger, ring_shards
 from stayscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,40 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select(
         "*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+LEAKS_SQL = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+win AS (SELECT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS w
+      FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 10, 0) + 2)) AS i FROM bw WHERE len(ws) > 0)),
+lengths AS (SELECT DISTINCT n FROM win),
+occ AS (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS w
+      FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM dw, lengths)),
+hit AS (SELECT DISTINCT doc_id, i, n, item_id FROM occ JOIN win USING (n, w)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hit)) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
+@query("op9_decontamination", LEAKS_SQL)
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and benchmark items hit in every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    n_hit = decontaminate.n_hit()
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
