@@ -62,7 +62,7 @@ def map_text(
     """``docs`` plus the columns that a Python kernel computes from each whole text, in Arrow batches.
 
     ``start()`` runs once per task and returns the kernel, a function from a list of strings
-    (null given as empty) to one list per output. ``outputs`` are (name, type) pairs; they
+    (null given as empty) to one list or Arrow array per output. ``outputs`` are (name, type) pairs; they
     replace columns of those names. Nothing is shuffled; all other columns pass through as they
     are. Batches are bounded by rows and, as texts vary, cut further by characters.
     """
@@ -94,7 +94,8 @@ def map_text(
                     end += 1
                 part = batch.slice(at, end - at)
                 texts = [x or "" for x in part.column(0).to_pylist()]
-                made_now = [pa.array(x, type=t) for x, t in zip(kernel(texts), arrow, strict=True)]
+                columns = zip(kernel(texts), arrow, strict=True)
+                made_now = [x if isinstance(x, pa.Array) else pa.array(x, type=t) for x, t in columns]
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], *made_now], names=names)
                 at = end
 

@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayscope.llm import chat_fold, decontaminate, line_dedup, quality_ledger, ring_shards
+from stayscope.llm import (
+    chat_fold,
+    decontaminate,
+    line_dedup,
+    quality_ledger,
+    ring_shards,
+    secret_scan,
+    sentence_pieces,
+)
 from stayscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,3 +170,29 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)
+
+
+def model_path() -> str:
+    """The public vocabulary that the queries encode with; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, and digests of the ids and of what they decode to."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    encoded = sentence_pieces.encode(docs, model_path(), keep_text=False)
+    return sentence_pieces.decode(encoded, model_path()).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
