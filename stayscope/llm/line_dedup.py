@@ -75,6 +75,8 @@ def keep_bitmaps(
         .agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper"))
         .where((F.col("n_docs") >= min_documents) & F.col("keeper").isNotNull())
     )
+    # Stored, so that both sides of the join are dealt for it and Spark can split a hot hash.
+    repeated = materialise(repeated, "dedup-repeated")
     dropped = lines.join(repeated, HASH).where(F.coalesce(F.col("doc") < F.col("keeper"), F.lit(True)))
     words = dropped.groupBy("doc", "row", F.shiftright("pos", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits")

@@ -11,6 +11,7 @@ from stayscope.llm import (
     chat_fold,
     decontaminate,
     line_dedup,
+    pii,
     quality_ledger,
     ring_shards,
     secret_scan,
@@ -196,3 +197,9 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.scan(table(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)

@@ -121,7 +121,13 @@ class Vocabulary:
 
     def decoded(self, ids: list[int]) -> str:
         """The text of ids: pieces joined, bytes read as UTF-8, the one prefixed space taken off."""
-        text = b"".join([self.raw[i] for i in ids]).decode("utf-8", "each_byte")
+        runs: list[list[int]] = [[]]
+        if self.controls.isdisjoint(ids[:-1]):
+            runs = [ids]
+        else:  # bytes do not combine across a control piece
+            for i in ids:
+                runs.append([]) if i in self.controls else runs[-1].append(i)
+        text = "".join(b"".join([self.raw[i] for i in r]).decode("utf-8", "each_byte") for r in runs)
         first = next((i for i in ids if i not in self.controls), None)
         return text[1:] if first in self.prefixed else text
 
