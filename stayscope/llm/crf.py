@@ -7,11 +7,6 @@ import numpy as np
 from stayscope.llm.common import ship
 
 
-def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 class Chain:
     """Weights of features per tag, of tag pairs, and of first tags."""
 
@@ -54,29 +49,26 @@ class Chain:
         numbers, owners = flat[by_feature][runs], by_feature // width
         for step in range(1, rounds + 1):
             scores = self.unary[x].sum(axis=2)
-            forward = np.zeros((b, longest, n_tags))
-            backward = np.zeros((b, longest, n_tags))
-            forward[:, 0] = self.first + scores[:, 0]
-            for t in range(1, longest):
-                moved = _logsumexp(forward[:, t - 1, :, None] + self.pairs, 1) + scores[:, t]
-                forward[:, t] = np.where(real[:, t, None], moved, forward[:, t - 1])
+            own = np.exp(scores - scores.max(axis=2, keepdims=True))
+            step_to = np.exp(self.pairs)
+            # Scaled forward and backward passes: each position's forward row adds up to one.
+            forward, backward = np.zeros_like(own), np.ones_like(own)
+            scale = np.ones((b, longest))
+            row = np.exp(self.first) * own[:, 0]
+            for t in range(longest):
+                if t:
+                    row = np.where(real[:, t, None], (forward[:, t - 1] @ step_to) * own[:, t], forward[:, t - 1])
+                scale[:, t] = row.sum(axis=1)
+                forward[:, t] = row / scale[:, t, None]
+            ahead = np.zeros((b, longest, n_tags))
             for t in range(longest - 2, -1, -1):
-                ahead = _logsumexp(self.pairs + (scores[:, t + 1] + backward[:, t + 1])[:, None, :], 2)
-                backward[:, t] = np.where(real[:, t + 1, None], ahead, 0.0)
-            total = _logsumexp(forward[:, -1], 1)
-            marginals = np.exp(forward + backward - total[:, None, None])
+                ahead[:, t] = own[:, t + 1] * backward[:, t + 1] / scale[:, t + 1, None]
+                backward[:, t] = np.where(real[:, t + 1, None], ahead[:, t] @ step_to.T, 1.0)
+            marginals = forward * backward
             wrong = (one_hot - marginals)[real]
             gradient = np.zeros_like(self.unary)
             gradient[numbers] = np.add.reduceat(wrong[owners], runs, axis=0)
-            expected = np.zeros((n_tags, n_tags))
-            for t in range(longest - 1):
-                joint = (
-                    forward[:, t, :, None]
-                    + self.pairs
-                    + (scores[:, t + 1] + backward[:, t + 1])[:, None, :]
-                    - total[:, None, None]
-                )
-                expected += np.exp(joint[both[:, t]]).sum(axis=0)
+            expected = step_to * (forward[:, :-1][both].T @ ahead[:, :-1][both])
             slopes = [gradient, seen_pairs - expected, seen_first - marginals[:, 0].sum(axis=0)]
             for w, slope, (m, v) in zip(weights, slopes, moments, strict=True):
                 slope = slope / b - ridge * w

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stayscope.llm import (
     chat_fold,
     decontaminate,
+    license_scan,
     line_dedup,
     pii,
     quality_ledger,
@@ -203,3 +204,9 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.scan(table(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
