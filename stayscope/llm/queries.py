@@ -12,6 +12,7 @@ from stayscope.llm import (
     decontaminate,
     license_scan,
     line_dedup,
+    ngram_join,
     pii,
     quality_ledger,
     ring_shards,
@@ -210,3 +211,27 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every document."""
     return license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+JOIN_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+      FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(len(ws), 5) - 1], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 5, 0) + 2)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g)
+      WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+      WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r(doc_id, other) AS (SELECT a, b FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a),
+m AS (SELECT doc_id, min(other) AS low FROM r GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+
+@query("op1_ngram_join", JOIN_SQL)
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
