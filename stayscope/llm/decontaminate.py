@@ -123,11 +123,9 @@ def _spans(text: str, words: Words, ranges: list[tuple[int, int]]) -> list[tuple
 
 def _scan(docs: DataFrame, text_col: str, rows) -> DataFrame:
     """``docs`` plus the outputs for one block of windows."""
-    shared = docs.sparkSession.sparkContext.broadcast(Index(rows))
+    index = Index(rows)  # goes to the tasks with the function; Spark broadcasts large ones
 
     def start():
-        index = shared.value
-
         def kernel(texts):
             columns = [[], [], [], []]
             for text in texts:

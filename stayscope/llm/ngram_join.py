@@ -202,10 +202,9 @@ def heat_levels(sets: DataFrame) -> np.ndarray:
 
 def index_keys(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     """``doc_id, key``: the index entries, one document of equal sets per task."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def start():
-        heat, met = shared.value, set()
+        met: set = set()
 
         def kernel(texts):
             out = []
@@ -214,7 +213,7 @@ def index_keys(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 signature = (len(hashes), int(mix(hashes).sum(dtype=np.uint64)), int(hashes.sum(dtype=np.uint64)))
                 fresh = signature not in met
                 met.add(signature)
-                out.append(keys_of(hashes, heat).view(np.int64) if fresh else hashes[:0].view(np.int64))
+                out.append(keys_of(hashes, levels).view(np.int64) if fresh else hashes[:0].view(np.int64))
             return [out]
 
         return kernel
