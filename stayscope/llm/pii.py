@@ -53,6 +53,8 @@ phone {phone|0049 30 1234567} or {phone|030 7654321}
 fax {phone|(030) 555 0199} office
 tel. {phone|555 201 3344} ext
 ring {phone|0171 5550123} today
+text {phone|646-555-0188} if late
+office {phone|212-555-0147}, home {phone|415-555-0126}
 dial {phone|1-800-555-0199} free of charge
 the card {card|4111 1111 1111 1112} was declined
 charged to {card|5500-0000-0000-0005} last week
