@@ -6,16 +6,16 @@ m <= L and L >= 4. For each class a document is cut into windows of 2L shingles
 so any run of m shingles lies whole in a window. A document holds a template if in some window at
 least ``containment`` of the template's distinct shingles occur.
 
-Retrieval is by one-row MinHash bands over windows. If a window holds a template at containment
-c, their Jaccard similarity is at least j = c(L/2) / (2L + (1-c)L/2) (for the smallest class, of
-one shingle, 1 / 2L), and b bands miss it with probability (1-j)^b; b is taken so that this is at
-most ``miss``, one in a million. A window without any template shingle cannot share a band's
+Retrieval is by one-row MinHash bands over windows. If a window holds k of a template's m shingles,
+their Jaccard similarity is at least k / (2L + m - k), and b bands miss it with probability
+(1-j)^b, j being the least similarity over the sizes m of the class; b is taken so that this is
+at most ``miss``, one in a million. A window without any template shingle cannot share a band's
 minimum and is left out beforehand, which loses nothing and spares most documents the hashing.
 
 Scale: documents are not shuffled; only the few windows with a template shingle are expanded,
 and only matches are grouped. Template bands are joined by key; Spark broadcasts them if they are
-small. The set for leaving windows out is part of the plan up to ``LITERAL_SHINGLES`` shingles, and
-beyond that it is not used.
+small, and up to ``LITERAL_SHINGLES`` template shingles in any case. The set for leaving windows out
+is part of the plan up to the same bound, and beyond it is not used.
 
 Edge cases: null, empty and very short texts hold nothing. Templates of fewer than five words have
 no shingle and are refused. Repeated rows and rows of one id give one result per id and template,
@@ -79,10 +79,11 @@ def size_class(n_shingles: int) -> int:
 
 def bands(length: int, containment: float = CONTAINMENT, miss: float = MISS) -> int:
     """Bands that find a template of class ``length`` with a chance of at least 1 - ``miss``."""
-    fewest = length / 2 if length > 4 else 1
-    held = math.ceil(containment * fewest)
-    similarity = held / (2 * length + fewest - held)
-    return math.ceil(math.log(miss) / math.log1p(-similarity))
+    similarities = []
+    for m in range(length // 2 + 1 if length > 4 else 1, length + 1):
+        held = math.ceil(containment * m - 1e-9)
+        similarities.append(held / (2 * length + m - held))
+    return math.ceil(math.log(miss) / math.log1p(-min(similarities)))
 
 
 def template_table(spark: SparkSession, templates=TEMPLATES) -> tuple[DataFrame, dict[int, list[list[str]]]]:
@@ -188,11 +189,15 @@ def scan(
         windows = windows.where(let(F.col("part"), holds_known))
     windows = windows.select("doc", "class", "first_word", let(F.col("part"), _shingles).alias("shingles"))
     ours = windows.withColumn("key", F.explode(_minima(F.col("shingles"), n_bands)))
-    theirs = table.withColumnRenamed("shingles", "wanted").withColumn(
-        "key", F.explode(_minima(F.col("wanted"), n_bands))
-    )
-    candidates = ours.join(theirs, ["class", "key"]).dropDuplicates(
-        ["doc", "class", "first_word", "shingles", "template"]
+    # Narrow rows meet, so that no window's words travel with each of its bands.
+    keys = table.select("template", "class", F.explode(_minima(F.col("shingles"), n_bands)).alias("key"))
+    wanted = table.select("template", "license", F.col("shingles").alias("wanted"))
+    if literal:  # the same bound holds for both
+        keys, wanted = F.broadcast(keys), F.broadcast(wanted)
+    candidates = (
+        ours.join(keys, ["class", "key"])
+        .dropDuplicates(["doc", "class", "first_word", "shingles", "template"])
+        .join(wanted, "template")
     )
     share = F.size(F.array_intersect("wanted", "shingles")) / F.size("wanted")
     found = candidates.withColumn("containment", share).where(F.col("containment") >= containment)
