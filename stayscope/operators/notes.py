@@ -14,39 +14,42 @@ from stayscope.operators.matrix import as_vectors, join_lookup, sparse_rows
 from stayscope.operators.ordered import with_position, with_running_totals
 from stayscope.operators.skew import skew_join
 
-# Vocabulary limit and topic model size.
-VOCABULARY_SIZE = 1 << 18
+# Topic model size.
 TOPICS = 50
 TOPIC_ITERATIONS = 25
 
-PIECE_CHARS = 16 * 1024 * 1024
+MAX_CUTOFFS = 63
 
 
 def concat_notes(
-    notes: DataFrame,
-    order: Sequence[str],
-    id_col: str = "id",
-    text_col: str = "text",
-    piece_chars: int = PIECE_CHARS,
+    notes: DataFrame, order: Sequence[str], id_col: str = "id", text_col: str = "text"
 ) -> DataFrame:
-    """All texts of an entity joined by a space, in ``order``, as ``(id, piece, text)``.
+    """An entity's whole text in reading order, as ``(id, position, start_char, text)``.
 
-    An entity whose text exceeds ``piece_chars`` gets several pieces, numbered in reading
-    order, so that no row and no task has to hold an entity's whole history. Pieces end
-    between notes; joined by a space they give the full text. ``order`` must be unique
-    within an entity.
+    One row per note at any size: ``position`` counts from 0 within the entity, and
+    ``start_char`` is where the note begins in the entity's texts joined by one space. So no
+    row and no task has to hold an entity's whole history, and a reader may join as much of
+    it as fits. A null text counts as empty. ``order`` must be unique within an entity.
     """
-    base = notes.select(id_col, *order, F.col(text_col).alias("_text"))
-    placed = with_running_totals(base, [id_col, *order], {"_chars": F.length("_text") + 1})
-    starts = placed.groupBy(id_col).agg(F.min("_chars").alias("_start"))
-    pieces = skew_join(placed, starts, id_col).withColumn(
-        "piece", F.floor((F.col("_chars") - F.col("_start")) / piece_chars)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # Only keys and lengths are sorted and numbered; the texts travel once, to meet their number.
+    lengths = notes.select(id_col, *order, (F.length(text) + 1).alias("_chars"))
+    placed = with_running_totals(
+        lengths, [id_col, *order], {"_before": F.col("_chars"), "_place": F.lit(1)}
+    )
+    starts = placed.groupBy(id_col).agg(
+        F.min("_before").alias("_first_before"), F.min("_place").alias("_first_place")
+    )
+    numbered = skew_join(placed, starts, id_col).select(
+        id_col,
+        *order,
+        (F.col("_place") - F.col("_first_place")).alias("position"),
+        (F.col("_before") - F.col("_first_before")).alias("start_char"),
     )
-    grouped = pieces.groupBy(id_col, "piece").agg(
-        F.array_sort(F.collect_list(F.struct(*order, "_text"))).alias("_notes")
+    keys = [id_col, *order]
+    return notes.select(*keys, text.alias("text")).join(numbered, keys).select(
+        id_col, "position", "start_char", "text"
     )
-    joined = F.array_join(F.transform("_notes", lambda n: n["_text"]), " ")
-    return grouped.select(id_col, "piece", joined.alias("text"))
 
 
 def note_tokens(
@@ -94,7 +97,10 @@ def term_counts_grid(
     """Term counts up to several cutoffs from one pass over the notes.
 
     One column per cutoff holds the count, so a note is joined, cleaned and split once.
+    A long has a bit for each of at most 63 cutoffs.
     """
+    if len(names) > MAX_CUTOFFS:
+        raise ValueError(f"at most {MAX_CUTOFFS} cutoffs fit one pass, got {len(names)}")
     last = F.greatest(*names) if len(names) > 1 else F.col(names[0])
     known = skew_join(notes, cutoffs, id_col, F.col(ts_col) <= last, **skew)
     # One bit per cutoff, set before the text is split, keeps the token rows narrow.
@@ -109,12 +115,22 @@ def term_counts_grid(
 
 
 def vocabulary(
-    counts: DataFrame, size: int = VOCABULARY_SIZE, min_documents: int = 1
+    counts: DataFrame, size: int | None = None, min_documents: int = 1
 ) -> DataFrame:
-    """The ``size`` most frequent terms by total count, indexed in that order."""
+    """Terms by descending total count, indexed in that order.
+
+    All terms by default. ``size`` keeps only the most frequent ones and ``min_documents``
+    those of enough documents; both leave terms out, as :func:`dropped_terms` tells.
+    """
     totals = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count("n").alias("documents"))
     frequent = totals.filter(F.col("documents") >= min_documents)
-    return with_position(frequent, [F.desc("total"), F.asc("term")]).filter(F.col("idx") < size)
+    placed = with_position(frequent, [F.desc("total"), F.asc("term")])
+    return placed if size is None else placed.filter(F.col("idx") < size)
+
+
+def dropped_terms(counts: DataFrame, vocab: DataFrame) -> int:
+    """How many terms a limited vocabulary leaves out."""
+    return counts.select("term").distinct().join(vocab, "term", "left_anti").count()
 
 
 def corpus_stats(counts: DataFrame, id_col: str = "id") -> DataFrame:

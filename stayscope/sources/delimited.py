@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from stayscope.functions import values
 from stayscope.operators.ordered import with_position
+from stayscope.storage import materialise
 
+# Fixed value: the pattern that names a table after its path.
 _TABLE_NAME = r"(\w+)(\.csv)?$"
 
 
@@ -16,9 +20,10 @@ def table_name_from_path(path: Column) -> Column:
     return F.when(name == "", path).otherwise(name)
 
 
-def _inferred_name(spark: SparkSession, path: str) -> str:
-    named = spark.range(1).select(table_name_from_path(F.lit(path)).alias("name"))
-    return named.first()["name"]
+def _inferred_name(path: str) -> str:
+    """:func:`table_name_from_path` of one known path."""
+    found = re.search(_TABLE_NAME, path, re.ASCII)
+    return found[1] if found else path
 
 
 def read_csv_table(
@@ -30,17 +35,18 @@ def read_csv_table(
 ) -> DataFrame:
     """Header CSV with every column a string, registered as a temp view.
 
-    ``view=None`` names the view after the path. Without ``schema`` only the header is
-    looked at. ``multiline=True`` lets quoted fields span lines, at the price of one task
+    ``view=None`` names the view after the path. Without ``schema`` the columns are those of
+    the first header, all strings; a file whose header differs, in order too, is an error. ``multiline=True`` lets quoted fields span lines, at the price of one task
     per file; :func:`join_quoted_lines` keeps large files splittable.
     """
     reader = spark.read.option("header", True).option("escape", '"')
     if multiline:
         reader = reader.option("multiLine", True)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    table = reader.csv(path)
-    table.createOrReplaceTempView(view or _inferred_name(spark, path))
+    if schema is None:
+        names = reader.csv(path).columns
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    table = reader.schema(schema).option("enforceSchema", False).csv(path)
+    table.createOrReplaceTempView(view or _inferred_name(path))
     return table
 
 
@@ -74,6 +80,10 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
     A line belongs to the record before it when the quotes seen so far in its file are
     odd in number. That parity is a running sum: whole splits are summed first (one small
     row per split), then lines are summed within their split.
+
+    A file with an odd number of quotes is an error that names it, before any grouping: one
+    stray quote would pull the rest of the file into a record. Two stray quotes do not show
+    here; :func:`parse_records` sets such records apart by their number of fields.
     """
     cleaned = lines.withColumn("line", values.single_spaced(F.col("line"))).filter(
         F.col("line").rlike(r"\S")
@@ -92,11 +102,18 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
         .withColumn("_starts_if_closed", F.sum(1 - F.col("_open")).over(so_far))
         .withColumn("_starts_if_open", F.sum(F.col("_open")).over(so_far))
     )
+    # Used twice, for the splits' sums and for the lines; the sort is done once.
+    local = materialise(local, "lines")
     splits = local.groupBy("file", "split").agg(
         F.sum("_odd").alias("_odd"),
         F.max("_starts_if_closed").alias("_closed"),
         F.max("_starts_if_open").alias("_opened"),
     )
+    # One row per split: stored, checked, and then used.
+    splits = materialise(splits, "splits")
+    unbalanced = splits.groupBy("file").agg((F.sum("_odd") % 2).alias("odd")).where("odd = 1").first()
+    if unbalanced is not None:
+        raise ValueError(f"odd number of quotes in {unbalanced['file']}")
     offsets = (
         splits.withColumn("_entered_open", F.coalesce(F.sum("_odd").over(earlier), F.lit(0)) % 2)
         .withColumn("_starts", F.expr("IF(_entered_open = 0, _closed, _opened)"))
@@ -120,22 +137,47 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def parse_records(records: DataFrame, columns: list[str]) -> DataFrame:
-    """Split one-line records into string columns; header lines are left out."""
+def _fields(record: Column) -> Column:
+    """Number of fields of a one-line record; commas in quotes are gone by now."""
+    return F.length(record) - F.length(F.replace(record, F.lit(","))) + 1
+
+
+def parse_records(records: DataFrame, columns: list[str], header: bool = True) -> DataFrame:
+    """Split one-line records into string columns.
+
+    With ``header``, the first record of each file (``record_no`` 1) is left out, whatever its
+    spelling; a data row that equals it stays. Records with another number of fields than ``columns`` are left to
+    :func:`rejected_records`.
+    """
     ddl = ", ".join(f"`{c}` STRING" for c in columns)
-    header = ",".join(columns).lower()
-    plain = F.lower(F.translate(F.col("record"), '" \r', ""))
     row = F.from_csv(F.col("record"), ddl, {"mode": "PERMISSIVE"})
-    return records.filter(plain != header).select(row.alias("row")).select("row.*")
+    good = _fields(F.col("record")) == len(columns)
+    if header:
+        good &= F.col("record_no") > 1
+    return records.filter(good).select(row.alias("row")).select("row.*")
+
 
+def rejected_records(records: DataFrame, columns: list[str]) -> DataFrame:
+    """``file, record_no, record`` of records whose number of fields is wrong, none dropped."""
+    return records.filter((F.col("record_no") > 1) & (_fields(F.col("record")) != len(columns)))
 
-def read_multiline_table(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
+
+def read_multiline_table(
+    spark: SparkSession, path: str, view: str | None = None, rejects: str | None = None
+) -> DataFrame:
     """Header CSV whose quoted fields span lines, read split by split and flattened.
 
     The splittable twin of ``read_csv_table(multiline=True)``: every column a string, one
-    line per record after :func:`join_quoted_lines`.
+    line per record after :func:`join_quoted_lines`. Records with a wrong number of fields are in
+    the view ``rejects`` (``<view>_rejects`` by default). Files with different headers are an error.
     """
     columns = spark.read.option("header", True).csv(path).columns
-    table = parse_records(join_quoted_lines(read_lines(spark, path)), columns)
-    table.createOrReplaceTempView(view or _inferred_name(spark, path))
+    records = join_quoted_lines(read_lines(spark, path))
+    head = F.lower(F.translate("record", '" \r', "")).alias("head")
+    if len(heads := records.filter("record_no = 1").select(head).distinct().limit(2).collect()) > 1:
+        raise ValueError(f"files of {path} have different headers: {[r['head'] for r in heads]}")
+    name = view or _inferred_name(path)
+    table = parse_records(records, columns)
+    table.createOrReplaceTempView(name)
+    rejected_records(records, columns).createOrReplaceTempView(rejects or f"{name}_rejects")
     return table

@@ -424,9 +424,8 @@ _TURN_SQL = """'He said "go, now"' || chr(10) || chr(10) || text || ',' || chr(1
       md5({_FLAT.format(f"({_TURN_SQL})")}) AS text_md5 FROM conversations""",
 )
 def clean_multiline_csv(spark, sf_dir):
-    table = delimited.read_csv_table(spark, _turns_csv(spark, sf_dir), view="turns", multiline=True)
-    flat = F.md5(values.flatten_field(F.col("text"))).alias("text_md5")
-    return table.select("conv_id", "turn", "role", flat)
+    table = delimited.read_multiline_table(spark, _turns_csv(spark, sf_dir), view="turns")
+    return table.select("conv_id", "turn", "role", F.md5("text").alias("text_md5"))
 
 
 @query(
@@ -452,7 +451,7 @@ def clean_quoted_csv(spark, sf_dir):
     rows.write.option("escape", '"').option("quoteAll", True).csv(path)
     cleaned = delimited.clean_quoted_lines(spark.read.text(path))
     return delimited.parse_records(
-        cleaned.withColumnRenamed("value", "record"), ["event_id", "event_type", "remark"]
+        cleaned.withColumnRenamed("value", "record"), ["event_id", "event_type", "remark"], header=False
     )
 
 

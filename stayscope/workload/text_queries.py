@@ -47,13 +47,12 @@ words AS (
 kept AS (SELECT * FROM words WHERE word NOT IN ({_sql_list(w.lower() for w in STOP_WORDS)})),
 counts AS (SELECT id, word AS term, count(*) AS n FROM kept GROUP BY id, word)"""
 
-# The vocabulary keeps the most frequent terms; the smaller scales stay below its size.
 _VOCABULARY_SQL = f"""{_WORDS_SQL},
 ranked AS (
   SELECT term, CAST(sum(n) AS BIGINT) AS total, count(*) AS documents,
          row_number() OVER (ORDER BY sum(n) DESC, term) - 1 AS idx
   FROM counts GROUP BY term),
-vocab AS (SELECT * FROM ranked WHERE idx < {nt.VOCABULARY_SIZE})"""
+vocab AS (SELECT * FROM ranked)"""
 
 
 def counts(spark, sf_dir):
@@ -138,24 +137,25 @@ def note_vectors(spark, sf_dir):
 
 @query(
     "concat_notes",
-    """SELECT conv_id AS id, CAST(0 AS BIGINT) AS piece, count(*) AS n_notes,
-      md5(string_agg(text, ' ' ORDER BY turn)) AS text_md5 FROM conversations GROUP BY conv_id""",
+    """SELECT conv_id AS id,
+      row_number() OVER w - 1 AS position,
+      CAST(coalesce(sum(length(text) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        AS BIGINT) AS start_char,
+      md5(text) AS text_md5
+    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
 )
 def concat_notes(spark, sf_dir):
-    turns = roles.notes(spark, sf_dir)
-    sizes = turns.groupBy("id").agg(F.count(F.lit(1)).alias("n_notes"))
-    joined = nt.concat_notes(turns, ["turn"]).join(sizes, "id")
-    return joined.select("id", "piece", "n_notes", F.md5("text").alias("text_md5"))
+    joined = nt.concat_notes(roles.notes(spark, sf_dir), ["turn"])
+    return joined.select("id", "position", "start_char", F.md5("text").alias("text_md5"))
 
 
 def _topic_model(spark, sf_dir):
-    """Few topics and iterations: the model's own results have no SQL twin to compare with."""
     found = materialise(
         nt.term_counts(roles.notes(spark, sf_dir), stop_words=STOP_WORDS, inner=True), "terms"
     )
     vocab = nt.vocabulary(found)
     vectors = nt.note_vectors(found, vocab)
-    return nt.fit_topics(vectors, k=5, iterations=5), vectors, vocab
+    return nt.fit_topics(vectors), vectors, vocab
 
 
 @query("note_topics")

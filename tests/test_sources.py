@@ -151,6 +151,38 @@ def test_multiline_records_across_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_stray_quotes_and_headers(spark, tmp_path):
+    (tmp_path / "odd.csv").write_text('ID,TEXT\n1,"a\n' + "".join(f"{k},b\n" for k in range(2, 60)))
+    with pytest.raises(ValueError, match="odd.csv"):
+        delimited.read_multiline_table(spark, str(tmp_path / "odd.csv"))
+    # Two stray quotes are even: the record between them has a wrong number of fields.
+    (tmp_path / "even.csv").write_text('ID,ICU STAY,TEXT\n1,x,a"\n2,y,b\n3,z,"c\n4,w,d\nID,ICU STAY,TEXT\n5,v,e"f,g"\n')
+    table = delimited.read_multiline_table(spark, str(tmp_path / "even.csv"), view="even")
+    rows = {r["ID"] for r in table.collect()}
+    bad = {r["record"] for r in spark.table("even_rejects").collect()}
+    assert rows | {b.split(",")[0] for b in bad} >= {"4", "5"} and "ID" in rows
+    lost = {"1", "2", "3"} - rows
+    assert all(any(f"{k}," in b or f"{k};" in b for b in [*bad, *map(str, table.collect())]) for k in lost)
+
+
+def test_part_files_with_another_header_are_an_error(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "p1.csv").write_text("a,b\n1,2\n")
+    (folder / "p2.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        delimited.read_csv_table(spark, str(folder), view="parts").collect()
+    with pytest.raises(ValueError, match="headers"):
+        delimited.read_multiline_table(spark, str(folder), view="parts")
+
+
+def test_predictions_keep_every_id(spark, tmp_path):
+    ids = ["3000000000", "12", "abc", "9", "00A", "123456789012345678901"]
+    scored = spark.createDataFrame([(i, 0.5) for i in ids], "id string, score double")
+    rows = [r["SUBJECT_ID"] for r in sinks.prediction_rows(scored).collect()]
+    assert rows == ["9", "12", "3000000000", "123456789012345678901", "00A", "abc"]
+
+
 def test_quoted_commas(spark):
     lines = spark.createDataFrame([('1,"a, b ""c""",d',)], "value string")
     assert delimited.clean_quoted_lines(lines).collect()[0]["value"] == '1,"a; b  c ",d'

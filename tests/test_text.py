@@ -39,19 +39,24 @@ def test_tokens_and_stop_words(spark):
     assert list(row) == [["the", "cat", "sat"], ["cat", "sat"], ["cat"]]
 
 
-@pytest.mark.parametrize("piece_chars", [20, 10_000])
-def test_pieces_give_the_whole_text(spark, piece_chars):
-    data = [("hot" if i % 3 == 0 else f"e{i % 7}", i, f"note {i} of text") for i in range(120)]
-    notes = spark.createDataFrame(data, "id string, seq int, text string")
-    pieces = nt.concat_notes(notes, ["seq"], piece_chars=piece_chars).orderBy("id", "piece").collect()
-    joined = {}
-    for r in pieces:
-        joined.setdefault(r["id"], []).append(r["text"])
-        assert len(r["text"]) <= piece_chars + 20
-    expected = {}
+def test_notes_in_order_give_the_whole_text(spark):
+    data = [("hot" if i % 3 == 0 else f"e{i % 7}", i, f"note {i} of text" if i % 11 else None) for i in range(120)]
+    data.append(("long", 0, "x" * 17_000_000))
+    data.append(("long", 1, "tail"))
+    notes = spark.createDataFrame(data, "id string, seq int, text string").repartition(5)
+    expected, found = {}, {}
     for who, _, text in data:
-        expected.setdefault(who, []).append(text)
-    assert {k: " ".join(v) for k, v in joined.items()} == {k: " ".join(v) for k, v in expected.items()}
+        expected.setdefault(who, []).append(text or "")
+    for r in nt.concat_notes(notes, ["seq"]).orderBy("id", "position").collect():
+        assert r["position"] == len(found.setdefault(r["id"], []))
+        assert r["start_char"] == sum(len(t) + 1 for t in found[r["id"]])
+        found[r["id"]].append(r["text"])
+    assert found == expected
+
+
+def test_cutoffs_are_limited_by_a_clear_error(spark):
+    with pytest.raises(ValueError, match="cutoffs"):
+        nt.term_counts_grid(None, None, [f"c{k}" for k in range(64)])
 
 
 def test_term_counts_of_notes_equal_those_of_the_joined_text(spark):
@@ -71,7 +76,7 @@ def test_vocabulary_orders_by_count_then_name_and_is_cut(spark):
     full = {r["term"]: r["idx"] for r in nt.vocabulary(counts).collect()}
     assert full == {"z": 0, "x": 1, "y": 2, "w": 3}
     cut = nt.vocabulary(counts, size=2)
-    assert {r["term"] for r in cut.collect()} == {"z", "x"}
+    assert {r["term"] for r in cut.collect()} == {"z", "x"} and nt.dropped_terms(counts, cut) == 2
     assert {r["term"] for r in nt.vocabulary(counts, min_documents=2).collect()} == {"x"}
     vectors = {r["id"]: r["features"] for r in nt.note_vectors(counts, cut).collect()}
     assert vectors["a"].toArray().tolist() == [9.0, 3.0] and vectors["b"].indices.tolist() == [1]
