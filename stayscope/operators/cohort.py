@@ -36,6 +36,10 @@ def anchored_entities(
 
     ``precision="day"`` drops the time of day from every date first.
     """
+    day = precision == "day"
+    if day:
+        for c in ("in_ts", "out_ts"):
+            episodes = episodes.withColumn(c, F.col(c).cast("date").cast("timestamp_ntz"))
     stays = (
         episodes.groupBy(id_col)
         .agg(F.max(F.struct("out_ts", "in_ts")).alias("_stay"))
@@ -43,8 +47,8 @@ def anchored_entities(
     )
     people = entities.select(id_col, "is_male", "dob", "is_dead", "dod")
     joined = people.join(stays, id_col, "left")
-    if precision == "day":
-        for c in ("dob", "dod", "in_ts", "out_ts"):
+    if day:
+        for c in ("dob", "dod"):
             joined = joined.withColumn(c, F.col(c).cast("date").cast("timestamp_ntz"))
     return joined
 

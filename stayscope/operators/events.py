@@ -14,22 +14,35 @@ def in_cohort(df: DataFrame, cohort: DataFrame, id_col: str = "id", **skew: int)
     return skew_join(df, cohort.select(id_col), id_col, how="left_semi", **skew)
 
 
+def at_precision(ts_col: str, precision: str) -> Column:
+    """A time as it is, or with ``precision="day"`` its day; cohort dates are cut alike."""
+    if precision not in ("timestamp", "day"):
+        raise ValueError(f"unknown precision: {precision}")
+    ts = F.col(ts_col)
+    return ts if precision == "timestamp" else ts.cast("date").cast("timestamp_ntz")
+
+
 def as_of(
     events: DataFrame,
     cohort: DataFrame,
     id_col: str = "id",
     ts_col: str = "ts",
     lookback: Column | None = None,
+    precision: str = "timestamp",
     **skew: int,
 ) -> DataFrame:
     """Events no later than the entity's index date, which is added as ``index_ts``.
 
+    ``precision`` is that of the cohort: with ``"day"``, an event of the index day counts,
+    whatever its time.
+
     ``lookback`` (an interval) also drops what happened longer before. ``cohort`` holds
     one row per entity; a frequent entity is handled by :func:`skew_join`.
     """
-    known = F.col(ts_col) <= F.col("index_ts")
+    ts = at_precision(ts_col, precision)
+    known = ts <= F.col("index_ts")
     if lookback is not None:
-        known = known & (F.col(ts_col) >= F.col("index_ts") - lookback)
+        known = known & (ts >= F.col("index_ts") - lookback)
     return skew_join(events, cohort.select(id_col, "index_ts"), id_col, known, **skew)
 
 
@@ -66,8 +79,15 @@ def mean_features(
 
 
 def _known_events(
-    events: DataFrame, cutoffs: DataFrame, names: Sequence[str], id_col: str, ts_col: str, skew: dict
+    events: DataFrame,
+    cutoffs: DataFrame,
+    names: Sequence[str],
+    id_col: str,
+    ts_col: str,
+    precision: str,
+    skew: dict,
 ) -> DataFrame:
+    events = events.withColumn(ts_col, at_precision(ts_col, precision))
     last = F.greatest(*names) if len(names) > 1 else F.col(names[0])
     return skew_join(events, cutoffs, id_col, F.col(ts_col) <= last, **skew)
 
@@ -89,6 +109,7 @@ def count_features_grid(
     id_col: str = "id",
     ts_col: str = "ts",
     code_col: str = "code",
+    precision: str = "timestamp",
     **skew: int,
 ) -> DataFrame:
     """:func:`count_features` for all cohorts at once.
@@ -96,7 +117,7 @@ def count_features_grid(
     An event is read, joined and shuffled once, whatever the number of cohorts: the
     cutoffs sit side by side in one row per entity and become conditional counts.
     """
-    known = _known_events(_named(events, prefix, code_col), cutoffs, names, id_col, ts_col, skew)
+    known = _known_events(_named(events, prefix, code_col), cutoffs, names, id_col, ts_col, precision, skew)
     seen = [F.expr(f"count_if(`{ts_col}` <= `{n}`) AS `{n}`") for n in names]
     wide = known.groupBy(id_col, "feature").agg(*seen)
     return _spread(wide, id_col, names, "CAST(nullif({0}, 0) AS DOUBLE)")
@@ -112,13 +133,14 @@ def mean_features_grid(
     code_col: str = "code",
     value_col: str = "value",
     measured_col: str | None = None,
+    precision: str = "timestamp",
     **skew: int,
 ) -> DataFrame:
     """:func:`mean_features` for all cohorts at once, in the same single pass."""
     named = _named(events, prefix, code_col)
     if measured_col is not None:
         named = named.filter(F.col(measured_col))
-    known = _known_events(named, cutoffs, names, id_col, ts_col, skew)
+    known = _known_events(named, cutoffs, names, id_col, ts_col, precision, skew)
     means = [
         F.expr(f"avg(CASE WHEN `{ts_col}` <= `{n}` THEN `{value_col}` END) AS `{n}`") for n in names
     ]

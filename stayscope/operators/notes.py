@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from stayscope import schemas
 from stayscope.functions import text as tx
+from stayscope.operators.events import at_precision
 from stayscope.operators.matrix import as_vectors, join_lookup, sparse_rows
 from stayscope.operators.ordered import with_position, with_running_totals
 from stayscope.operators.skew import skew_join
+from stayscope.storage import use_checkpoints
 
 # Topic model size.
 TOPICS = 50
@@ -92,6 +94,7 @@ def term_counts_grid(
     ts_col: str = "ts",
     text_col: str = "text",
     stop_words: Sequence[str] = (),
+    precision: str = "timestamp",
     **skew: int,
 ) -> DataFrame:
     """Term counts up to several cutoffs from one pass over the notes.
@@ -101,6 +104,7 @@ def term_counts_grid(
     """
     if len(names) > MAX_CUTOFFS:
         raise ValueError(f"at most {MAX_CUTOFFS} cutoffs fit one pass, got {len(names)}")
+    notes = notes.withColumn(ts_col, at_precision(ts_col, precision))
     last = F.greatest(*names) if len(names) > 1 else F.col(names[0])
     known = skew_join(notes, cutoffs, id_col, F.col(ts_col) <= last, **skew)
     # One bit per cutoff, set before the text is split, keeps the token rows narrow.
@@ -162,7 +166,8 @@ def note_vectors(
 def fit_topics(
     vectors: DataFrame, k: int = TOPICS, iterations: int = TOPIC_ITERATIONS, seed: int = 11
 ) -> LDAModel:
-    """Topic model by expectation maximisation."""
+    """Topic model by expectation maximisation; its growing graph is checkpointed on the way."""
+    use_checkpoints(vectors.sparkSession)
     lda = LDA(k=k, maxIter=iterations, optimizer="em", seed=seed, featuresCol="features")
     return lda.fit(vectors)
 

@@ -75,12 +75,3 @@ FLAG_FEATURES = {c: FLAG_PREFIX + camel_case(c) for c in FLAG_COLUMNS}
 def strings(*columns: str) -> T.StructType:
     """A schema of nullable string columns, as read from a text file."""
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-
-TUPLE_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("feature", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-    ]
-)

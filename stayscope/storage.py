@@ -8,9 +8,11 @@ executor costs a re-read and never a recomputation.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,9 +35,39 @@ def shared_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, exactly the intermediate paths made within it.
+
+    Results read after the end must have been written elsewhere.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+            files.delete(target, True)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let iterative models cut their lineage in the shared folder, unless a folder is set."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

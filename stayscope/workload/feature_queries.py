@@ -59,10 +59,11 @@ def all_tuples(spark, sf_dir):
 
 
 def dynamic_tuples(spark, sf_dir):
-    """Medication, lab and base tuples of one cohort."""
+    """Diagnosis, medication, lab and base tuples of one cohort."""
     members = materialise(cohort(spark, sf_dir), "cohort")
     tuples = event_tuples(spark, sf_dir, members)
-    return tuples["med"].unionByName(tuples["lab"]).unionByName(static.base_tuples(members))
+    dynamic = tuples["diag"].unionByName(tuples["med"]).unionByName(tuples["lab"])
+    return dynamic.unionByName(static.base_tuples(members))
 
 
 def stored_tuples(spark, sf_dir):
@@ -72,7 +73,7 @@ def stored_tuples(spark, sf_dir):
 
 _DYNAMIC_SQL = f"""{roles.COHORT_SQL},{roles.CODES_SQL},{roles.EVENT_TUPLES_SQL},
 tuples AS (
-  SELECT * FROM med_tuples UNION ALL SELECT * FROM lab_tuples
+  SELECT * FROM diag_tuples UNION ALL SELECT * FROM med_tuples UNION ALL SELECT * FROM lab_tuples
   UNION ALL SELECT id, 'patient_age', age FROM cohort
   UNION ALL SELECT id, 'patient_sex', CAST(is_male AS DOUBLE) FROM cohort),
 dictionary AS (
@@ -92,6 +93,25 @@ def asof_events(spark, sf_dir):
     return ev.as_of(roles.labs(spark, sf_dir), cohort(spark, sf_dir))
 
 
+@query(
+    "asof_events_day",
+    f"""WITH {roles.GRID_SQL},{roles.CODES_SQL},
+    cut AS (
+      SELECT id, CASE WHEN in_ts IS NULL THEN TIMESTAMP '1971-01-01 00:00:00'
+        ELSE least(date_trunc('day', in_ts) + INTERVAL 24 HOUR, date_trunc('day', out_ts),
+                   date_trunc('day', dod)) END AS index_ts
+      FROM anchored)
+    SELECT l.id, l.ts, l.code, l.value, c.index_ts
+    FROM labs l JOIN cut c ON l.id = c.id AND date_trunc('day', l.ts) <= c.index_ts""",
+)
+def asof_events_day(spark, sf_dir):
+    """Events of the index day count whatever their time."""
+    members = co.build_cohort(
+        roles.entities(spark, sf_dir), roles.episodes(spark, sf_dir), config.IN_STAY, 24, precision="day"
+    )
+    return ev.as_of(roles.labs(spark, sf_dir), members, precision="day")
+
+
 @query(
     "lookback_events",
     f"""WITH {roles.COHORT_SQL},{roles.CODES_SQL}

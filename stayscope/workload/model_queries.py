@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stayscope.config import IN_STAY
 from stayscope.operators import metrics, models, scaling, split
 from stayscope.plans import study
 from stayscope.storage import new_path
@@ -21,7 +20,7 @@ def _scaled_split(spark, sf_dir):
 @query("svm_scores")
 def svm_scores(spark, sf_dir):
     train, test = _scaled_split(spark, sf_dir)
-    model = models.train_svm(train, "scaled", iterations=50)
+    model = models.train_svm(train, "scaled")
     return models.score(model, test, models.margin())
 
 
@@ -72,7 +71,8 @@ def cv_grid(spark, sf_dir):
     """Mean cross-validated area per regularisation strength."""
     data = dynamic_matrix(spark, sf_dir)
     train, _ = split.split_by_hash(data)
-    fitted = models.cross_validate(train.persist(), data, folds=3)
+    fitted = models.cross_validate(train.persist(), data)
+    train.unpersist()
     rows = list(zip(map(float, models.REG_GRID), map(float, fitted.avgMetrics)))
     return spark.createDataFrame(rows, "reg double, mean_auc double")
 
@@ -81,7 +81,7 @@ def cv_grid(spark, sf_dir):
 def model_run(spark, sf_dir):
     """One SVM from split to area under the curve."""
     train, test = _scaled_split(spark, sf_dir)
-    model = models.train_svm(train, "scaled", iterations=50)
+    model = models.train_svm(train, "scaled")
     return metrics.auc(models.score(model, test, models.margin()))
 
 
@@ -93,10 +93,6 @@ def _config(spark, **changes):
         score_names=roles.SCORE_NAMES,
         flag_names=roles.FLAG_NAMES,
         stop_words=tuple(text_queries.STOP_WORDS),
-        topics=5,
-        topic_iterations=3,
-        svm_iterations=10,
-        lr_iterations=20,
         parallelism=8,
     )
     return study.StudyConfig(**{**settings, **changes})
@@ -104,13 +100,13 @@ def _config(spark, **changes):
 
 @query("model_grid")
 def model_grid(spark, sf_dir):
-    """Area under the curve of every cohort and note-free feature set."""
-    cfg = _config(spark, notes=False)
+    """Area under the curve of every cohort and feature set, notes included."""
+    cfg = _config(spark)
     return study.run_all(spark, roles.inputs(spark, sf_dir), cfg)
 
 
 @query("staged_run")
 def staged_run(spark, sf_dir):
-    """Features with notes, held-out predictions by logistic regression, one outcome."""
-    cfg = _config(spark, outcomes=(IN_STAY,), hours=(24, 0), holdout=True)
+    """Features with notes and held-out predictions by logistic regression, all cohorts."""
+    cfg = _config(spark, holdout=True)
     return study.run_all(spark, roles.inputs(spark, sf_dir), cfg)
