@@ -12,7 +12,8 @@ from stayscope.operators.ordered import with_position, with_running_totals
 from stayscope.operators.skew import skew_join
 from stayscope.storage import materialise, new_path
 
-MAX_BROADCAST_ROWS = 1_000_000
+#: Most bytes of a lookup table, counted as JSON text, that are sent to every task.
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def feature_set(tuples: DataFrame, families: Sequence[str]) -> DataFrame:
@@ -26,20 +27,23 @@ def feature_dictionary(tuples: DataFrame) -> DataFrame:
 
 
 def join_lookup(
-    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], max_broadcast: int = MAX_BROADCAST_ROWS
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], max_broadcast: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
-    """Inner join with a counted lookup table: broadcast if small, else skew-safe.
+    """Inner join with a measured lookup table: broadcast if small, else skew-safe.
+
+    Its size in bytes is measured, not its rows: a term may be of any length.
 
     Names such as age and sex occur for every entity, so a plain shuffle on the name would
     put a large share of all rows into one task.
     """
-    if lookup.count() <= max_broadcast:
+    size = lookup.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    if size <= max_broadcast:
         return rows.join(F.broadcast(lookup), list(keys))
     return skew_join(rows, lookup, keys)
 
 
 def index_tuples(
-    tuples: DataFrame, dictionary: DataFrame, max_broadcast: int = MAX_BROADCAST_ROWS
+    tuples: DataFrame, dictionary: DataFrame, max_broadcast: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """Replace feature names by their index."""
     indexed = join_lookup(tuples, dictionary, ["feature"], max_broadcast)
@@ -166,7 +170,7 @@ def set_rows(
     dictionaries: DataFrame,
     sets: Sequence[FeatureSet],
     id_col: str = "id",
-    max_broadcast: int = MAX_BROADCAST_ROWS,
+    max_broadcast: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Sparse rows of every cohort and feature set: ``(cohort, feature_set, id, features)``.
 
