@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stayscope.operators import metrics, models, scaling, split
+from stayscope.operators import matrix, metrics, models, scaling, split
 from stayscope.plans import study
 from stayscope.storage import new_path
 from stayscope.workload import roles, text_queries
-from stayscope.workload.feature_queries import dynamic_matrix
+from stayscope.workload.cohort_queries import cohort
+from stayscope.workload.feature_queries import dynamic_matrix, dynamic_tuples
 from stayscope.workload.registry import query
 
 
@@ -51,8 +52,6 @@ def rf_scores(spark, sf_dir):
     FROM cohort JOIN sizes USING (label)""",
 )
 def string_index(spark, sf_dir):
-    from stayscope.workload.cohort_queries import cohort
-
     labels = cohort(spark, sf_dir).select("id", "label")
     indexed = models.index_labels(labels).transform(labels)
     return indexed.select("id", "label", F.col("indexed_label").cast("double").alias("indexed_label"))
@@ -66,6 +65,28 @@ def indexed_lr(spark, sf_dir):
     return fitted.select("id", "label", "prediction", "predicted_label")
 
 
+def _sex_matrix(spark, sf_dir):
+    """Vectors whose label is one of their own features, so that predictions are known."""
+    labels = cohort(spark, sf_dir).select("id", F.col("is_male").cast("double").alias("label"))
+    return matrix.feature_matrix(dynamic_tuples(spark, sf_dir), labels)
+
+
+_SEX_SQL = f"WITH {roles.COHORT_SQL} SELECT id, CAST(is_male AS DOUBLE) AS label, {{}} FROM cohort"
+
+
+@query("planted_dt", _SEX_SQL.format("CAST(is_male AS DOUBLE) AS score"))
+def planted_dt(spark, sf_dir):
+    data = _sex_matrix(spark, sf_dir)
+    return models.score(models.train_dt(data), data, models.predicted_class())
+
+
+@query("planted_indexed_lr", _SEX_SQL.format("CASE WHEN is_male THEN '1.0' ELSE '0.0' END AS predicted_label"))
+def planted_indexed_lr(spark, sf_dir):
+    data = _sex_matrix(spark, sf_dir)
+    fitted = models.fit_indexed_lr(data, data).transform(data)
+    return fitted.select("id", "label", "predicted_label")
+
+
 @query("cv_grid")
 def cv_grid(spark, sf_dir):
     """Mean cross-validated area per regularisation strength."""
