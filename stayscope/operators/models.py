@@ -19,6 +19,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Training parameters of the standard models.
 SVM_ITERATIONS, SVM_REG = 1000, 0.01
+# Training ends before the last iteration once a step changes this little: Spark's own default for
+# gradient descent.
+SVM_TOLERANCE = 1e-3
 LR_ITERATIONS, LR_REG = 10_000, 0.0001
 TREE_DEPTH, TREE_BINS = 5, 32
 FOREST_TREES, FOREST_DEPTH = 10, 10
@@ -34,13 +37,18 @@ def two_classes(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def train_svm(
-    train: DataFrame, features: str = "features", iterations: int = SVM_ITERATIONS, reg: float = SVM_REG
+    train: DataFrame,
+    features: str = "features",
+    iterations: int = SVM_ITERATIONS,
+    reg: float = SVM_REG,
+    tolerance: float = SVM_TOLERANCE,
 ) -> Model:
     """Linear SVM: hinge loss, L2 penalty, no intercept."""
     svm = LinearSVC(
         featuresCol=features,
         maxIter=iterations,
         regParam=reg,
+        tol=tolerance,
         fitIntercept=False,
         standardization=False,
     )
