@@ -19,10 +19,13 @@ the smaller its subset. So passages that many documents share are indexed last.
 costs only: any table gives the same links.
 
 Buckets and skew. Copies (equal sets) are one node. Sets with a common key are candidates, but a
-bucket's pairs are not listed: first each member is verified against the bucket's smallest id,
-streaming in sort order; then components are formed; then only pairs of one bucket that are
-still in different components are verified. Verification intersects the sets. Every candidate pair is either
-verified or already connected, so components are exact.
+bucket's pairs are not listed: first each member is verified against the bucket's smallest id, its
+pivot, streaming in sort order, and components are formed. Where a bucket still holds several
+components, all that share its pivot are compared in blocks of bounded size, a product of two
+blocks' incidence matrices giving the intersections, and only links come back. Every candidate
+pair is either verified or already connected, so components are exact. Families of many
+heavily edited copies that do not link cost the square of their size in that product: to show
+that no two of them link, each two must be compared.
 
 Nothing is capped: keys, buckets and candidates of any number take this way. Results that are read
 twice are tables in the shared folder. The driver sees only the heavy slots, at most
@@ -37,9 +40,9 @@ Repeated rows are copies. An empty table gives none. Further columns are ignored
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,6 +59,14 @@ SLOTS = 1 << SLOT_BITS
 #: A slot is heavy if it counts so many times the mean.
 HEAVY = 4
 
+#: Bounds of a block of sets that are compared with each other, and the width of one product.
+BLOCK_ROWS = 512
+BLOCK_SHINGLES = 200_000
+TOKENS_AT_ONCE = 4096
+
+#: What ``allocate`` has worked out; a plain table, so that it goes to the workers by value.
+_allocated: dict[int, tuple[int, int]] = {}
+
 _GROUP, _SEGMENT = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -79,7 +90,6 @@ def band_of(n: int) -> int:
     return band
 
 
-@lru_cache(maxsize=None)
 def lowest(band: int) -> int:
     """The smallest size in a band."""
     return math.ceil(BAND_RATIO**band - 1e-9)
@@ -90,7 +100,6 @@ def _few(n: int, share: float) -> float:
     return (1 - share) ** n + n * share * (1 - share) ** (n - 1)
 
 
-@lru_cache(maxsize=None)
 def allocate(band: int) -> tuple[int, int]:
     """``(deletion segments, exact segments)`` of a band, the cheapest by a simple model.
 
@@ -98,6 +107,8 @@ def allocate(band: int) -> tuple[int, int]:
     of t shingles is taken to recur in unrelated sets with a chance of 0.35^t, more so in short
     sets, and an almost empty deletion segment to recur everywhere.
     """
+    if band in _allocated:
+        return _allocated[band]
     high = max(lowest(band), lowest(band + 1) - 1)
     low = max(1, math.ceil(0.8 * lowest(band)))
     needed = differences(high, high) + 1
@@ -114,7 +125,8 @@ def allocate(band: int) -> tuple[int, int]:
         candidates = keys * 0.35**size + deletions * (1 + 3 * size) * 0.35 ** (3 * size)
         cost = written + 512 / high * candidates + 2000 * deletions * _few(low, 3 / shares)
         best = min(best, (cost, deletions, exact))
-    return best[1], best[2]
+    _allocated[band] = best[1:]
+    return _allocated[band]
 
 
 def keys_of(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
@@ -210,7 +222,8 @@ def index_keys(docs: DataFrame, levels: np.ndarray) -> DataFrame:
             out = []
             for text in texts:
                 hashes = shingle_set(text)
-                signature = (len(hashes), int(mix(hashes).sum(dtype=np.uint64)), int(hashes.sum(dtype=np.uint64)))
+                mixed = mix(hashes).sum(dtype=np.uint64)
+                signature = (len(hashes), int(mixed), int(hashes.sum(dtype=np.uint64)))
                 fresh = signature not in met
                 met.add(signature)
                 out.append(keys_of(hashes, levels).view(np.int64) if fresh else hashes[:0].view(np.int64))
@@ -222,18 +235,21 @@ def index_keys(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     return keys.select("doc_id", F.explode("keys").alias("key"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b)."""
-    pairs = materialise(pairs, "join-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """``doc_id, members``: the stored shingle sets of the documents in ``ids`` (doc_id)."""
 
     def start():
         return lambda texts: [[shingle_set(t).view(np.int64) for t in texts]]
 
-    wanted = docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
-    sets = materialise(
-        map_text(wanted, "text", [("members", "array<bigint>")], start, keep_text=False), "join-sets"
-    )
+    wanted = docs.join(ids.distinct().hint("shuffle_hash"), "doc_id", "left_semi")
+    sets = map_text(wanted, "text", [("members", "array<bigint>")], start, keep_text=False)
+    return materialise(sets, "join-sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The linked ones of ``pairs`` (a, b)."""
+    pairs = materialise(pairs, "join-pairs")
+    sets = _sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), docs)
     first = sets.select(F.col("doc_id").alias("a"), F.col("members").alias("of_a"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("members").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
@@ -242,6 +258,69 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return materialise(linked.select("a", "b").distinct(), "join-links")
 
 
+def _intersections(members: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets with each other."""
+    sizes = [len(m) for m in members]
+    owners = np.repeat(np.arange(len(members)), sizes)
+    _, tokens, counts = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)
+    shared = counts[tokens] > 1
+    number = np.cumsum(counts > 1) - 1
+    tokens, owners = number[tokens[shared]], owners[shared]
+    out = np.zeros((len(members), len(members)), dtype=np.float32)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owners = tokens[order], owners[order]
+    for low in range(0, int(tokens[-1]) + 1 if len(tokens) else 0, TOKENS_AT_ONCE):
+        part = slice(*np.searchsorted(tokens, (low, low + TOKENS_AT_ONCE)))
+        present = np.zeros((len(members), TOKENS_AT_ONCE), dtype=np.float32)
+        present[owners[part], tokens[part] - low] = 1.0
+        out += present @ present.T
+    return out.astype(np.int64)
+
+
+def _linked_across(groups: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between the components that meet in a group, one for each two that do.
+
+    ``groups`` has ``pivot, node, root, n``. A group is cut into blocks of bounded size by hash; a
+    task compares two blocks and returns links only, so a large group is neither held
+    together nor written out as pairs.
+    """
+    sizes = groups.groupBy("pivot").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    n_blocks = F.greatest(
+        F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)
+    ).cast("int")
+    blocks = sizes.where("rows > 1").select("pivot", n_blocks.alias("n_blocks"))
+    placed = groups.join(blocks, "pivot").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
+    dealt = placed.select("pivot", "node", "root", "block", other.alias("other")).select(
+        "pivot",
+        "node",
+        "root",
+        "block",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+    )
+    sets = _sets_of(groups.select(F.col("node").alias("doc_id")), docs)
+    held = dealt.join(sets, F.col("node") == F.col("doc_id")).drop("doc_id")
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, root, block = (np.asarray(table.column(c)) for c in ("node", "root", "block"))
+        members = [m.values.to_numpy().view(np.uint64) for m in table.column("members")]
+        both = _intersections(members)
+        size = np.array([len(m) for m in members])
+        linked = 100 * both >= PERCENT * (size[:, None] + size[None, :] - both)
+        # Pairs of one block are compared where it meets itself.
+        alone = bool((block == block[0]).all())
+        linked &= (root[:, None] < root[None, :]) & (alone | (block[:, None] != block[None, :]))
+        a, b = np.nonzero(linked)
+        _, first = np.unique(np.stack([root[a], root[b]], axis=1), axis=0, return_index=True)
+        return pa.table({"a": node[a[first]], "b": node[b[first]]})
+
+    links = held.groupBy("pivot", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+    return materialise(links.distinct(), "join-links")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node reachable from each node of undirected ``edges`` (a, b).
 
@@ -267,7 +346,10 @@ def components(edges: DataFrame) -> DataFrame:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = materialise(smallest(both).select("u", F.least("u", "m").alias("m")), "components-low")
         large = materialise(
-            both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
+            both.join(low, "u")
+            .where(F.col("v") > F.col("u"))
+            .select(F.col("v").alias("u"), F.col("m").alias("v"))
+            .distinct(),
             "components-large",
         )
         low = materialise(smallest(large), "components-low")
@@ -317,7 +399,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         b = of_doc.select(F.col("doc_id").alias("y"), F.col("n").alias("n_b"), F.col("node").alias("q"))
         sized = pairs.join(a, "x").join(b, "y").where(F.col("p") != F.col("q"))
         fits = 5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")
-        return sized.where(fits).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+        pair = F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")
+        return sized.where(fits).select(*pair).distinct()
 
     stars = materialise(
         shared.select(F.col("pivot").alias("x"), F.col("doc_id").alias("y")).distinct(), "join-stars"
@@ -331,27 +414,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     placed = materialise(
         of_doc.join(roots, of_doc.node == roots.node, "left").select(
-            "doc_id", of_doc.node, F.coalesce("root", of_doc.node).alias("root")
+            "doc_id", "n", of_doc.node, F.coalesce("root", of_doc.node).alias("root")
         ),
         "join-placed",
     )
 
     def with_root(df: DataFrame, column: str, name: str) -> DataFrame:
-        return df.join(placed.select(F.col("doc_id").alias(column), F.col("root").alias(name)).distinct(), column)
+        named = placed.select(F.col("doc_id").alias(column), F.col("root").alias(name))
+        return df.join(named.distinct(), column)
 
-    # Buckets whose members are not all connected yet, and their pairs across components.
+    # Buckets whose members are not all connected yet; every pair that shares one shares its pivot.
     apart = with_root(with_root(stars, "x", "root_x"), "y", "root_y").where("root_x <> root_y")
-    apart = materialise(apart.select(F.col("x").alias("pivot"), F.col("y").alias("doc_id")).distinct(), "join-apart")
-    open_keys = materialise(shared.join(apart, ["pivot", "doc_id"], "left_semi").select("key").distinct(), "join-open")
-    members = shared.join(open_keys, "key", "left_semi")
-    members = members.select("key", "doc_id").unionByName(members.select("key", F.col("pivot").alias("doc_id")))
-    members = materialise(
-        members.join(placed, "doc_id").select("key", F.col("node"), "root").distinct(), "join-members"
-    )
-    left = members.select("key", F.col("node").alias("x"), F.col("root").alias("root_x"))
-    right = members.select("key", F.col("node").alias("y"), F.col("root").alias("root_y"))
-    across = left.join(right, "key").where("root_x < root_y").select("x", "y").distinct()
-    more = _verified(as_nodes(across), docs)
+    apart = apart.select(F.col("x").alias("pivot"), F.col("y").alias("doc_id")).distinct()
+    apart = materialise(apart, "join-apart")
+    open_keys = shared.join(apart, ["pivot", "doc_id"], "left_semi").select("key").distinct()
+    open_keys = materialise(open_keys, "join-open")
+    members = shared.join(open_keys, "key", "left_semi").select("pivot", "doc_id").distinct()
+    members = members.unionByName(members.select("pivot", F.col("pivot").alias("doc_id")).distinct())
+    groups = members.join(placed, "doc_id").select("pivot", "node", "root", "n").distinct()
+    more = _linked_across(materialise(groups, "join-groups"), docs)
     if not more.isEmpty():
         roots = components(
             roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
