@@ -8,7 +8,8 @@ Added kinds (``crf_email`` and so on) come from a linear-chain conditional rando
 word shapes of tokens and their neighbours. It is trained on the driver from a small labelled
 table: the hand-labelled lines below, and at most ``SILVER_LINES`` lines of the corpus that hold a
 digit or ``@``, labelled by the base expressions. That bound is a parameter; which lines are taken
-depends on hashes of the lines alone. The model, a few hundred kilobytes, goes to the tasks; there every line is decoded by Viterbi in numpy batches.
+depends on hashes of the lines alone. The model, a few hundred kilobytes, goes to the tasks; there
+every line is decoded by Viterbi in numpy batches.
 
 A span of the field must hold a digit or ``@``. So only tokens within ``REACH`` tokens of such a
 token, in the same line, are decoded; spans that overlap base spans are left out, the base
