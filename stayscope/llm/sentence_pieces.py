@@ -6,14 +6,14 @@ join the agenda. Characters outside the vocabulary become byte pieces.
 
 No piece of such a vocabulary usually has a space symbol after another character; then no merge
 crosses into the next run of spaces and a text falls apart into segments, a run of space symbols
-and what follows it, that are encoded once per task and remembered. (If a vocabulary has such a
+and what follows it, that are encoded once per worker process and remembered. (If a vocabulary has such a
 piece, the whole text is one segment.) Every new segment of an Arrow batch is also encoded and
-decoded by the sentencepiece library, in one call per batch, before the batch is passed on; a
-difference stops the job. ``check="texts"`` compares all whole texts instead.
+decoded by the sentencepiece library, a hundred in a text and all texts in one call, before the
+batch is passed on; a difference stops the job. ``check="texts"`` compares all whole texts instead.
 
 The model's file is read on the driver and sent to the tasks (its size is bounded: one
-vocabulary), so workers need no file. Memory per task is bounded by the batch and
-``MEMORY_SEGMENTS`` remembered segments; the memory is emptied when full.
+vocabulary), so workers need no file. A worker's memory is bounded by the batch and
+``MEMORY_SEGMENTS`` remembered segments (about 200 bytes each); it is emptied when full.
 
 Edge cases: null and empty texts have no pieces but the end id; whitespace is kept as it is; very
 long words cost n log n; rows are independent, so ties and repeated rows need no rule; an empty
@@ -23,8 +23,11 @@ table gives none. Other columns pass through; clashing names are replaced.
 from __future__ import annotations
 
 import codecs
+import hashlib
 import heapq
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +40,10 @@ from pyspark.sql import functions as F
 from stayscope.llm.common import map_text, ship
 
 SPACE = "▁"
-MEMORY_SEGMENTS = 300_000
+MEMORY_SEGMENTS = 800_000
+#: Where a worker process keeps its segments between tasks.
+MEMORY_NAME = "_segments_of_this_worker"
+CHECKED_TOGETHER = 100
 SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
@@ -50,11 +56,10 @@ class Vocabulary:
     """Pieces, merge ranks and byte pieces of a model."""
 
     def __init__(self, model: bytes):
-        codecs.register_error("each_byte", each_byte)
-        self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        sp = self.library
+        self.model = model
+        self._open()
+        sp, scores = self.library, {}
         self.ids: dict[str, int] = {}
-        self.scores: dict[str, float] = {}
         self.byte_ids: list[int] = [sp.unk_id()] * 256
         self.raw: list[bytes] = []
         self.controls: set[int] = set()
@@ -71,48 +76,71 @@ class Vocabulary:
                 self.raw.append(" ⁇ ".encode())
             else:
                 self.ids[piece] = i
-                self.scores[piece] = sp.get_score(i)
+                scores[piece] = sp.get_score(i)
                 self.raw.append(piece.replace(SPACE, " ").encode())
         self.splits = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
+        # Equal scores share a rank, so that the leftmost pair goes first among them.
+        levels = {score: k for k, score in enumerate(sorted(set(scores.values()), reverse=True))}
+        self.ranks = {p: levels[score] for p, score in scores.items()}
         self.prefixed = {i for p, i in self.ids.items() if p.startswith(SPACE)}
+        self.last_control = max(self.controls, default=-1)
         self.end_id = sp.eos_id()
 
+    def _open(self) -> None:
+        codecs.register_error("each_byte", each_byte)
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=self.model)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "library"}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._open()
+
     def segments(self, text: str) -> list[str]:
+        """The text's segments, each without its first space symbol (every segment has one)."""
         if not text:
             return []
+        if self.splits and SPACE not in text and "  " not in text and text[0] != " " != text[-1]:
+            return text.split(" ")
         shown = SPACE + text.replace(" ", SPACE)
-        return SEGMENT.findall(shown) if self.splits else [shown]
+        return [x[1:] for x in (SEGMENT.findall(shown) if self.splits else [shown])]
 
     def merged(self, segment: str) -> list[str]:
         """The segment's pieces: characters merged pair by pair from the agenda."""
         symbols: list[str | None] = list(segment)
         n = len(symbols)
+        ranks = self.ranks
+        agenda = [
+            (ranks[pair], i, i + 1, pair)
+            for i, pair in enumerate(map(str.__add__, symbols, symbols[1:]))
+            if pair in ranks
+        ]
+        heapq.heapify(agenda)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        scores, agenda = self.scores, []
-
-        def propose(left: int, right: int) -> None:
-            if left >= 0 and right >= 0:
-                pair = symbols[left] + symbols[right]
-                if (score := scores.get(pair)) is not None:
-                    heapq.heappush(agenda, (-score, left, right, pair))
-
-        for i in range(n - 1):
-            propose(i, i + 1)
         while agenda:
             _, left, right, pair = heapq.heappop(agenda)
-            if symbols[left] is None or symbols[right] is None or symbols[left] + symbols[right] != pair:
+            head, tail = symbols[left], symbols[right]
+            if head is None or tail is None or len(head) + len(tail) != len(pair):
                 continue
             symbols[left], symbols[right] = pair, None
-            after[left] = after[right]
-            if after[right] >= 0:
-                before[after[right]] = left
-            propose(before[left], left)
-            propose(left, after[left])
+            after[left] = following = after[right]
+            if following >= 0:
+                before[following] = left
+                new = pair + symbols[following]
+                if new in ranks:
+                    heapq.heappush(agenda, (ranks[new], left, following, new))
+            preceding = before[left]
+            if preceding >= 0:
+                new = symbols[preceding] + pair
+                if new in ranks:
+                    heapq.heappush(agenda, (ranks[new], preceding, left, new))
         return [s for s in symbols if s is not None]
 
     def encoded(self, segment: str) -> list[int]:
+        """Ids of a segment that is given without its first space symbol."""
         out: list[int] = []
-        for piece in self.merged(segment):
+        for piece in self.merged(SPACE + segment):
             if (i := self.ids.get(piece)) is not None:
                 out.append(i)
             else:
@@ -122,12 +150,12 @@ class Vocabulary:
     def decoded(self, ids: list[int]) -> str:
         """The text of ids: pieces joined, bytes read as UTF-8, the one prefixed space taken off."""
         runs: list[list[int]] = [[]]
-        if self.controls.isdisjoint(ids[:-1]):
+        if len(ids) < 2 or min(ids[:-1]) > self.last_control:
             runs = [ids]
         else:  # bytes do not combine across a control piece
             for i in ids:
                 runs.append([]) if i in self.controls else runs[-1].append(i)
-        text = "".join(b"".join([self.raw[i] for i in r]).decode("utf-8", "each_byte") for r in runs)
+        text = "".join(b"".join(map(self.raw.__getitem__, r)).decode("utf-8", "each_byte") for r in runs)
         first = next((i for i in ids if i not in self.controls), None)
         return text[1:] if first in self.prefixed else text
 
@@ -147,16 +175,32 @@ class Segments(dict):
 
     def check(self) -> None:
         """Compare the fresh segments with the library, and make room."""
-        if self.fresh:
-            # A segment begins with the space symbol that the library prefixes by itself.
-            texts = [s[1:].replace(SPACE, " ") for s in self.fresh]
-            ours = [np.frombuffer(self[s], dtype="<i4").tolist() for s in self.fresh]
+        # Segments in a row are a text, whose pieces are theirs; one of spaces alone would run into
+        # the next, so it ends its text.
+        texts, ours, part = [], [], []
+        for k, segment in enumerate(self.fresh):
+            part.append(segment)
+            if len(part) >= CHECKED_TOGETHER or k + 1 == len(self.fresh) or not segment.strip(SPACE):
+                # The library prefixes the first segment's space symbol by itself.
+                texts.append(" ".join(part).replace(SPACE, " "))
+                ours.append(np.frombuffer(b"".join(map(self.__getitem__, part)), dtype="<i4").tolist())
+                part = []
+        if texts:
             compare(self.vocabulary, texts, ours, whole=False)
         self.fresh = []
         if len(self) > MEMORY_SEGMENTS:
             self.clear()
 
 
+def remembered(vocabulary: Vocabulary) -> Segments:
+    """The segments this worker process has met, in this task or an earlier one."""
+    held = sys.modules.setdefault(MEMORY_NAME, types.ModuleType(MEMORY_NAME)).__dict__
+    key = hashlib.sha256(vocabulary.model).hexdigest()
+    if key not in held:
+        held[key] = Segments(vocabulary)
+    return held[key]
+
+
 def compare(vocabulary: Vocabulary, texts: list[str], ours: list[list[int]], whole: bool) -> None:
     theirs = vocabulary.library.encode(texts, add_bos=False, add_eos=whole, num_threads=1)
     read = vocabulary.library.decode(ours, num_threads=1)
@@ -168,18 +212,21 @@ def compare(vocabulary: Vocabulary, texts: list[str], ours: list[list[int]], who
             raise ValueError(f"decoding differs from the library's: {text[:80]!r}")
 
 
+def read_vocabulary(model_path: str) -> Vocabulary:
+    with open(model_path, "rb") as f:
+        return Vocabulary(f.read())
+
+
 def encode(
     docs: DataFrame, model_path: str, text_col: str = "text", check: str = "segments", keep_text: bool = True
 ) -> DataFrame:
     """``docs`` plus ``ids``, the pieces of each whole text and the end id."""
     if check not in ("segments", "texts"):
         raise ValueError(f"unknown check: {check}")
-    with open(model_path, "rb") as f:
-        model = docs.sparkSession.sparkContext.broadcast(f.read())
+    vocabulary = read_vocabulary(model_path)
 
     def start():
-        vocabulary = Vocabulary(model.value)
-        known = Segments(vocabulary)
+        known = remembered(vocabulary)
         end = np.array([vocabulary.end_id], dtype="<i4").tobytes()
 
         def kernel(texts):
@@ -201,11 +248,9 @@ def encode(
 
 def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``docs`` plus the text of ``ids_col``; null ids give an empty text."""
-    with open(model_path, "rb") as f:
-        model = docs.sparkSession.sparkContext.broadcast(f.read())
+    vocabulary = read_vocabulary(model_path)
 
     def decoded(batches):
-        vocabulary = Vocabulary(model.value)
         for ids in batches:
             yield pd.Series([vocabulary.decoded(x.tolist()) if x is not None else "" for x in ids], dtype=object)
 
