@@ -9,8 +9,9 @@ least ``containment`` of the template's distinct shingles occur.
 Retrieval is by one-row MinHash bands over windows. If a window holds k of a template's m shingles,
 their Jaccard similarity is at least k / (2L + m - k), and b bands miss it with probability
 (1-j)^b, j being the least similarity over the sizes m of the class; b is taken so that this is
-at most ``miss``, one in a million. A window without any template shingle cannot share a band's
-minimum and is left out beforehand, which loses nothing and spares most documents the hashing.
+at most ``miss``, one in a million. A window with fewer distinct template shingles of its class than
+``containment`` of the class's shortest template asks for cannot hold one and is left out beforehand,
+which loses nothing and spares most documents the hashing.
 
 Scale: documents are not shuffled; only the few windows with a template shingle are expanded,
 and only matches are grouped. Template bands are joined by key; Spark broadcasts them if they are
@@ -31,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayscope.llm.common import ascii_lower, let, text_or_empty
+from stayscope.llm.license_texts import known
 
 WIDTH = 5
 CONTAINMENT = 0.8
@@ -39,7 +41,7 @@ LITERAL_SHINGLES = 20_000
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Names and wording of public license notices.
-TEMPLATES: tuple[tuple[str, str], ...] = (
+_SHORT: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     (
         "Apache-2.0",
@@ -71,6 +73,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     ),
 )
+#: Those, and the full texts and notices of ``license_texts``.
+TEMPLATES: tuple[tuple[str, str], ...] = known(_SHORT)
 
 
 def size_class(n_shingles: int) -> int:
@@ -124,6 +128,16 @@ def _hashed(words: Column) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
+def _hashes_of(spark: SparkSession, shingles: list[str]) -> list[int]:
+    """The numbers that ``_hashed`` gives these shingles."""
+    words = spark.createDataFrame([(s.split(" "),) for s in shingles], "w array<string>")
+    return [r[0] for r in words.select(F.element_at(_hashed(F.col("w")), 1)).collect()]
+
+
+def _listed(numbers) -> str:
+    return ", ".join(f"{n}L" if n > -(2**63) else "(-9223372036854775807L - 1L)" for n in sorted(set(numbers)))
+
+
 def _minima(shingles: Column, n_bands: Column) -> Column:
     """Band number and minimum of the band's hash over the shingles."""
     return let(
@@ -155,7 +169,8 @@ def scan(
     lowered = ascii_lower(text_or_empty(F.col(f"`{text_col}`")))
     words = F.filter(F.split(lowered, BETWEEN_WORDS), lambda w: w != "")
     texts = docs.select(F.col(f"`{id_col}`").alias("doc"), words.alias("words"))
-    known = sorted({s for lists in by_class.values() for x in lists for s in x})
+    in_class = {c: sorted({s for x in lists for s in x}) for c, lists in by_class.items()}
+    n_known = len({s for part in in_class.values() for s in part})
     classes = sorted(by_class)
     n_bands = F.element_at(
         F.create_map(*[F.lit(x) for c in classes for x in (c, bands(c, containment, miss))]), F.col("class")
@@ -177,16 +192,21 @@ def scan(
 
         return F.concat(*[of(c) for c in classes])
 
-    def holds_known(w: Column) -> Column:
-        wanted = [F.xxhash64(*map(F.lit, s.split(" "))) for s in known]
-        return F.arrays_overlap(_hashed(w), F.array(*wanted))
-
-    literal = len(known) <= LITERAL_SHINGLES
+    literal = n_known <= LITERAL_SHINGLES
     if literal:
-        texts = texts.where(let(F.col("words"), holds_known))
+        numbers = {c: _hashes_of(spark, part) for c, part in in_class.items()}
+        least = {c: min(math.ceil(containment * len(x) - 1e-9) for x in lists) for c, lists in by_class.items()}
+        any_known = f"exists(hashes, h -> h IN ({_listed(h for x in numbers.values() for h in x)}))"
+        texts = texts.withColumn("hashes", let(F.col("words"), _hashed)).where(F.expr(any_known)).drop("hashes")
     windows = texts.select("doc", F.inline(let(F.col("words"), parts)))
     if literal:
-        windows = windows.where(let(F.col("part"), holds_known))
+        # As text, since thousands of literals take seconds one by one.
+        cases = " ".join(
+            f"WHEN {c} THEN size(array_distinct(filter(hashes, h -> h IN ({_listed(numbers[c])})))) >= {least[c]}"
+            for c in classes
+        )
+        windows = windows.withColumn("hashes", let(F.col("part"), _hashed))
+        windows = windows.where(F.expr(f"CASE class {cases} END")).drop("hashes")
     windows = windows.select("doc", "class", "first_word", let(F.col("part"), _shingles).alias("shingles"))
     ours = windows.withColumn("key", F.explode(_minima(F.col("shingles"), n_bands)))
     # Narrow rows meet, so that no window's words travel with each of its bands.
