@@ -14,7 +14,7 @@ from stayscope.operators.events import at_precision
 from stayscope.operators.matrix import as_vectors, join_lookup, sparse_rows
 from stayscope.operators.ordered import with_position, with_running_totals
 from stayscope.operators.skew import skew_join
-from stayscope.storage import use_checkpoints
+from stayscope.storage import materialise, use_checkpoints
 
 # Topic model size.
 TOPICS = 50
@@ -31,25 +31,27 @@ def concat_notes(
     One row per note at any size: ``position`` counts from 0 within the entity, and
     ``start_char`` is where the note begins in the entity's texts joined by one space. So no
     row and no task has to hold an entity's whole history, and a reader may join as much of
-    it as fits. A null text counts as empty. ``order`` must be unique within an entity.
+    it as fits. A null text counts as empty. Every note comes out once: null ids are one entity, a
+    null in ``order`` comes first, and notes with equal keys follow each other in any order.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    numbers = notes.select(id_col, *order, text.alias("_text"), F.monotonically_increasing_id().alias("_note"))
+    # Written once, so that a note has the same number on both sides of the join.
+    stored = materialise(numbers, "notes")
     # Only keys and lengths are sorted and numbered; the texts travel once, to meet their number.
-    lengths = notes.select(id_col, *order, (F.length(text) + 1).alias("_chars"))
+    lengths = stored.select(id_col, *order, "_note", (F.length("_text") + 1).alias("_chars"))
     placed = with_running_totals(
-        lengths, [id_col, *order], {"_before": F.col("_chars"), "_place": F.lit(1)}
-    )
-    starts = placed.groupBy(id_col).agg(
+        lengths, [id_col, *order, "_note"], {"_before": F.col("_chars"), "_place": F.lit(1)}
+    ).withColumn("_entity", F.struct(id_col))  # a struct is never null, and equal if its fields are null
+    starts = placed.groupBy("_entity").agg(
         F.min("_before").alias("_first_before"), F.min("_place").alias("_first_place")
     )
-    numbered = skew_join(placed, starts, id_col).select(
-        id_col,
-        *order,
+    numbered = skew_join(placed, starts, "_entity").select(
+        "_note",
         (F.col("_place") - F.col("_first_place")).alias("position"),
         (F.col("_before") - F.col("_first_before")).alias("start_char"),
     )
-    keys = [id_col, *order]
-    return notes.select(*keys, text.alias("text")).join(numbered, keys).select(
+    return stored.select(id_col, "_note", F.col("_text").alias("text")).join(numbered, "_note").select(
         id_col, "position", "start_char", "text"
     )
 
