@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayscope.llm import (
+    centroids,
     chat_fold,
     decontaminate,
     license_scan,
     line_dedup,
+    main_text,
+    merkle,
     ngram_join,
     pii,
     quality_ledger,
@@ -235,3 +238,120 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+MERKLE_SQL = r"""
+WITH RECURSIVE
+bytes AS (SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, k:
+      CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t FROM range(256) r(n)),
+f AS (SELECT doc_id, source, CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END
+      || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+      || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+      || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END AS head,
+      text, coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda x: ord(x)::BIGINT)), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 2 = 0,
+        false) AS hurt
+      FROM documents, bytes),
+h AS (SELECT doc_id, source, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END)
+      AS leaf, CASE WHEN hurt THEN replace(text, chr(10), '') ELSE text END AS t, head FROM f),
+l AS (SELECT doc_id, source, leaf, sha256(head || CASE WHEN t IS NULL THEN '-' ELSE strlen(t) || ':' || t END) AS now,
+      row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+      count(*) OVER (PARTITION BY source) AS n FROM h),
+t(k, source, i, n, d) AS (SELECT 0, source, i, n, leaf FROM l UNION ALL
+      SELECT k + 1, source, i // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY i)) FROM t WHERE n > 1
+      GROUP BY k, source, i // 3, n),
+s AS (SELECT source, d AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i,
+      count(*) OVER () AS n FROM t WHERE n = 1),
+u(k, i, n, d) AS (SELECT 0, i, n, subroot FROM s UNION ALL
+      SELECT k + 1, i // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY i)) FROM u WHERE n > 1
+      GROUP BY k, i // 3, n),
+a AS (SELECT k, 'g' || coalesce('=' || source, '') AS tree, i, n, d FROM t UNION ALL
+      SELECT 1000 + k, '' AS tree, i, n, d FROM u),
+p(doc_id, row, tree, k, i, d, proof, over) AS (
+  SELECT doc_id, leaf || i, 'g' || coalesce('=' || source, ''), 0, i, now, '', NULL::BIGINT FROM l
+  UNION ALL
+  SELECT p.doc_id, p.row, CASE WHEN max(a.n) = 1 THEN '' ELSE p.tree END,
+    CASE WHEN max(a.n) = 1 THEN 1000 ELSE p.k + 1 END, CASE WHEN max(a.n) = 1 THEN p.over ELSE p.i // 3 END,
+    CASE WHEN max(a.n) = 1 THEN p.d
+      ELSE sha256(string_agg(CASE WHEN a.i = p.i THEN p.d ELSE a.d END, '' ORDER BY a.i)) END,
+    p.proof || CASE WHEN max(a.n) = 1 THEN '' ELSE coalesce(string_agg(a.d, '' ORDER BY a.i)
+      FILTER (a.i <> p.i), '') END, NULL
+  FROM (SELECT p.* EXCLUDE (over), s.i AS over FROM p LEFT JOIN s ON p.tree = 'g' || coalesce('=' || source, '')) p
+  JOIN a ON a.tree = p.tree AND a.k = p.k AND a.i // 3 = p.i // 3 WHERE NOT (p.tree = '' AND a.n = 1)
+  GROUP BY p.doc_id, p.row, p.tree, p.k, p.i, p.d, p.proof, p.over),
+e AS (SELECT p.* FROM p JOIN (SELECT max(k) AS k FROM u) m ON p.tree = '' AND p.k = 1000 + m.k)
+SELECT l.doc_id, leaf, subroot, r.d AS root, sha256(e.proof) AS proof_sha256, e.d AS folded_root,
+  e.d = r.d AS verified
+FROM l JOIN s ON l.source IS NOT DISTINCT FROM s.source JOIN e ON e.doc_id IS NOT DISTINCT FROM l.doc_id
+  AND e.row = l.leaf || l.i, (SELECT d FROM u WHERE n = 1) r
+"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the manifest, and whether its present state still verifies.
+
+    Where 2 divides the CRC-32 of the id, the present state has lost the text's line ends.
+    """
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    hurt = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    rows = docs.select(
+        "doc_id",
+        "source",
+        merkle.leaf(*head, F.col("text")).alias("leaf"),
+        F.when(hurt, merkle.leaf(*head, F.replace("text", F.lit("\n"), F.lit("")))).alias("claimed"),
+    )
+    proven = merkle.manifest(rows, "source", "doc_id", ["claimed"])
+    found = merkle.verify(proven, F.coalesce("claimed", "leaf"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+def _centroid_sql(rounds: int, k: int) -> str:
+    """Each round joins all vectors with all centroids, component by component."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(
+            f"""d{r} AS MATERIALIZED (SELECT v.row, c.num, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d
+      FROM v JOIN c{r} c ON c.i = v.i GROUP BY v.row, c.num),
+a{r} AS MATERIALIZED (SELECT row, num, d FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY d, num) AS r
+      FROM d{r}) WHERE r = 1)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""c{r + 1} AS MATERIALIZED (SELECT c.num, c.i, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN
+      (SELECT num, i, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x
+       FROM a{r} JOIN v USING (row) GROUP BY num, i) m USING (num, i))"""
+            )
+    return f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, embedding FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT row, unnest(range(1, 65)) AS i, unnest(list_transform(embedding,
+      lambda x: floor(256 * x::DOUBLE)::BIGINT)) AS x FROM e),
+f AS (SELECT row, row_number() OVER (ORDER BY h NULLS LAST, embedding) - 1 AS num
+      FROM (SELECT *, sha256('2:' || vec_id::VARCHAR) AS h FROM e) QUALIFY num < {k}),
+c0 AS MATERIALIZED (SELECT num, i, x FROM f JOIN v USING (row)),
+{', '.join(steps)},
+s AS (SELECT num, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS sha FROM c{rounds} GROUP BY num)
+SELECT vec_id, num::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY num))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha AS centroid_sha256
+FROM a{rounds} JOIN e USING (row) JOIN s USING (num)
+"""
+
+
+@query("op12_centroid_clustering", _centroid_sql(centroids.ROUNDS, centroids.CENTROIDS))
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after five rounds, and what the clusters' distances add up to."""
+    assigned, final = centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    found = centroids.with_inertia(assigned, final)
+    return found.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+@query("op13_html_extraction")
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
