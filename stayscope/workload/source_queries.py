@@ -439,6 +439,31 @@ def join_quoted_lines(spark, sf_dir):
     return table.select("conv_id", "turn", "role", F.md5("text").alias("text_md5"))
 
 
+@query(
+    "stray_quotes",
+    """SELECT CASE WHEN o_orderkey % 499 = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS id,
+      CASE WHEN o_orderkey % 499 = 0 THEN o_orderkey || ',"' || o_orderpriority
+           WHEN o_orderkey % 5 = 0 THEN o_orderpriority || '; then more' ELSE o_orderpriority END AS text,
+      o_orderkey % 499 = 0 AS rejected FROM orders""",
+)
+def stray_quotes(spark, sf_dir):
+    """Lines of which some hold a stray quote: these are set apart, all others are read."""
+    key = F.col("o_orderkey")
+    text = (
+        F.when(key % 499 == 0, F.concat(F.lit('"'), "o_orderpriority"))
+        .when(key % 5 == 0, F.concat(F.lit('"'), "o_orderpriority", F.lit(', then\nmore"')))
+        .otherwise(F.col("o_orderpriority"))
+    )
+    path = new_path(spark, "lines")
+    roles.table(spark, sf_dir, "orders").select(F.concat_ws(",", key.cast("string"), text)).write.text(path)
+    records = delimited.join_quoted_lines(delimited.read_lines(spark, path), 2, odd_quotes="reject")
+    good = delimited.parse_records(records, ["id", "text"], header=False).withColumn("rejected", F.lit(False))
+    bad = records.where("stray").select(
+        F.lit(None).cast("string").alias("id"), F.col("record").alias("text"), F.lit(True).alias("rejected")
+    )
+    return good.unionByName(bad)
+
+
 @query(
     "clean_quoted_csv",
     """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
