@@ -18,10 +18,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Training parameters of the standard models.
-SVM_ITERATIONS, SVM_REG = 1000, 0.01
-# Training ends before the last iteration once a step changes this little: Spark's own default for
-# gradient descent.
-SVM_TOLERANCE = 1e-3
+SVM_ITERATIONS, SVM_REG, SVM_TOLERANCE = 1000, 0.01, 1e-6
 LR_ITERATIONS, LR_REG = 10_000, 0.0001
 TREE_DEPTH, TREE_BINS = 5, 32
 FOREST_TREES, FOREST_DEPTH = 10, 10
@@ -43,7 +40,10 @@ def train_svm(
     reg: float = SVM_REG,
     tolerance: float = SVM_TOLERANCE,
 ) -> Model:
-    """Linear SVM: hinge loss, L2 penalty, no intercept."""
+    """Linear SVM: hinge loss, L2 penalty, no intercept, by a quasi-Newton optimiser.
+
+    :func:`stayscope.operators.gradient.train_svms` descends by gradients instead, all samples at once.
+    """
     svm = LinearSVC(
         featuresCol=features,
         maxIter=iterations,

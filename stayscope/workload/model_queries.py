@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stayscope.operators import matrix, metrics, models, scaling, split
+from stayscope.operators import gradient, matrix, metrics, models, scaling, split
 from stayscope.plans import study
-from stayscope.storage import new_path
+from stayscope.storage import materialise, new_path
 from stayscope.workload import roles, text_queries
 from stayscope.workload.cohort_queries import cohort
-from stayscope.workload.feature_queries import dynamic_matrix, dynamic_tuples
+from stayscope.workload.feature_queries import _DYNAMIC_SQL, dynamic_matrix, dynamic_tuples, stored_tuples
 from stayscope.workload.registry import query
 
 
@@ -25,6 +25,50 @@ def svm_scores(spark, sf_dir):
     return models.score(model, test, models.margin())
 
 
+_DESCENT_SQL = f"""WITH RECURSIVE {_DYNAMIC_SQL},
+sided AS MATERIALIZED (SELECT t.id, i.idx, t.value, c.label, t.id % 10 < 7 AS train
+  FROM tuples t JOIN dictionary i USING (feature) JOIN cohort c ON c.id = t.id),
+n AS MATERIALIZED (SELECT count(DISTINCT id) AS n FROM sided WHERE train),
+deviations AS MATERIALIZED (
+  SELECT idx, sqrt(greatest((sum(value * value) - sum(value) * sum(value) / n) / (n - 1), 0)) AS d
+  FROM sided, n WHERE train GROUP BY idx, n),
+x AS MATERIALIZED (SELECT id, idx, value / d AS v, CASE WHEN label > 0.5 THEN 1 ELSE -1 END AS y
+  FROM sided JOIN deviations USING (idx) WHERE train AND d > 1e-9),
+w(i, idx, w, moved) AS (
+  SELECT 0, idx, 0.0::DOUBLE, NULL::DOUBLE FROM dictionary
+  UNION ALL
+  SELECT i + 1, idx, new, new - old FROM (
+    SELECT w.i, w.idx, w.w AS old,
+      w.w * (1 - {gradient.REG} / sqrt(w.i + 1)) + coalesce(g.g, 0) / n.n * {gradient.STEP} / sqrt(w.i + 1) AS new
+    FROM w CROSS JOIN n LEFT JOIN (
+      SELECT x.idx, sum(x.v * x.y) AS g FROM x JOIN (
+        SELECT x.id FROM x JOIN w USING (idx) GROUP BY x.id, x.y HAVING x.y * sum(x.v * w.w) < 1) wrong USING (id)
+      GROUP BY x.idx) g ON g.idx = w.idx
+    WHERE w.i < {{iterations}} AND (w.i < 2 OR (SELECT sqrt(sum(moved * moved)) >=
+      {gradient.TOLERANCE} * greatest(sqrt(sum(w * w)), 1.0) FROM w)))),
+final AS MATERIALIZED (SELECT idx, w FROM w WHERE i = (SELECT max(i) FROM w))
+SELECT s.id, s.label, round(coalesce(sum(CASE WHEN d.d > 1e-9 THEN s.value / d.d * f.w END), 0), 6) AS score
+FROM sided s LEFT JOIN deviations d USING (idx) LEFT JOIN final f USING (idx) WHERE NOT s.train GROUP BY s.id, s.label"""
+
+
+@query("svm_sgd", _DESCENT_SQL.format(iterations=gradient.ITERATIONS))
+def svm_sgd(spark, sf_dir):
+    """Margins of the rows held back, by gradient descent to its end; the split is by id."""
+    rows = _stored_matrix(spark, sf_dir)
+    train = rows.where(F.col("id").cast("long") % 10 < 7)
+    fitted = gradient.train_svms(train, scale_by=train)
+    scored = gradient.margins(rows.where(F.col("id").cast("long") % 10 >= 7), fitted)
+    return scored.select("id", "label", F.round("score", 6).alias("score"))
+
+
+def _stored_matrix(spark, sf_dir):
+    """The labelled matrix with vectors in storage form."""
+    tuples = stored_tuples(spark, sf_dir)
+    dictionary = matrix.feature_dictionary(tuples)
+    rows = matrix.sparse_rows(matrix.index_tuples(tuples, dictionary), dictionary.count())
+    return materialise(matrix.join_labels(rows, cohort(spark, sf_dir)), "matrix")
+
+
 @query("lr_scores")
 def lr_scores(spark, sf_dir):
     train, test = _scaled_split(spark, sf_dir)
