@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
@@ -53,7 +53,7 @@ def let(value: Column, body) -> Column:
 def prefixed(df: DataFrame, columns: list[str], prefix: str) -> tuple[DataFrame, list[str]]:
     """``df`` cut to ``columns`` under names that cannot clash with the caller's own."""
     names = [prefix + c for c in columns]
-    return df.select(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)]), names
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)]), names
 
 
 def map_text(
@@ -64,14 +64,18 @@ def map_text(
     ``start()`` runs once per task and returns the kernel, a function from a list of strings
     (null given as empty) to one list or Arrow array per output. ``outputs`` are (name, type) pairs; they
     replace columns of those names. Nothing is shuffled; all other columns pass through as they
-    are. Batches are bounded by rows and, as texts vary, cut further by characters.
+    are. Spark bounds an Arrow batch by rows; what the kernel sees of it at once is cut further by
+    characters, as texts vary.
     """
     made = {name for name, _ in outputs}
     kept = [c for c in docs.columns if c not in made and (keep_text or c != text_col)]
-    given = docs.select(
-        F.col(f"`{text_col}`").cast("string").alias("t"),
-        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)],
-    )
+    given = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    # A text that is kept anyway travels once.
+    at_text = kept.index(text_col) if text_col in kept and docs.schema[text_col].dataType == StringType() else len(kept)
+    if at_text == len(kept):
+        given = docs.select(
+            *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(f"`{text_col}`").cast("string").alias("t")
+        )
     schema = StructType(
         [
             *[StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(kept)],
@@ -80,23 +84,23 @@ def map_text(
     )
     arrow = [to_arrow_schema(StructType([f])).field(0).type for f in schema.fields[len(kept) :]]
     names = schema.names
-    limit = BATCH_CHARS
+    limit, n_kept = BATCH_CHARS, len(kept)
 
     def run(batches):
         kernel = start()
         for batch in batches:
             n, at = batch.num_rows, 0
-            sizes = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_pylist()
+            sizes = pc.fill_null(pc.binary_length(batch.column(at_text)), 0).to_pylist()
             while at < n:
                 end, held = at + 1, sizes[at]
                 while end < n and held + sizes[end] <= limit:
                     held += sizes[end]
                     end += 1
                 part = batch.slice(at, end - at)
-                texts = [x or "" for x in part.column(0).to_pylist()]
+                texts = [x or "" for x in part.column(at_text).to_pylist()]
                 columns = zip(kernel(texts), arrow, strict=True)
                 made_now = [x if isinstance(x, pa.Array) else pa.array(x, type=t) for x, t in columns]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], *made_now], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns[:n_kept], *made_now], names=names)
                 at = end
 
     out = given.mapInArrow(run, schema)

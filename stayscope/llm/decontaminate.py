@@ -22,10 +22,10 @@ nothing, an empty table gives none. Other columns pass through; clashing names a
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayscope.llm.common import map_text, ship
+from stayscope.llm.common import map_text, prefixed, ship
 from stayscope.llm.hashing import BY_ALNUM, Words, window_hashes
 from stayscope.storage import materialise
 
@@ -119,7 +119,7 @@ def _spans(text: str, words: Words, ranges: list[tuple[int, int]]) -> list[tuple
     return spans
 
 
-def _scan(docs: DataFrame, text_col: str, rows) -> DataFrame:
+def _scan(docs: DataFrame, text_col: str, rows, keep_text: bool = True) -> DataFrame:
     """``docs`` plus the outputs for one block of windows."""
     index = Index(rows)  # goes to the tasks with the function; Spark broadcasts large ones
 
@@ -137,7 +137,7 @@ def _scan(docs: DataFrame, text_col: str, rows) -> DataFrame:
 
         return kernel
 
-    return map_text(docs, text_col, OUTPUTS, start)
+    return map_text(docs, text_col, OUTPUTS, start, keep_text)
 
 
 def scan(
@@ -146,6 +146,7 @@ def scan(
     text_col: str = "text",
     width: int = WIDTH,
     block_windows: int = BLOCK_WINDOWS,
+    keep_text: bool = True,
 ) -> DataFrame:
     """``docs`` plus ``n_words``, ``hit_words``, ``hit_spans`` and ``hit_items``.
 
@@ -154,7 +155,7 @@ def scan(
     windows = materialise(benchmark_windows(benchmark, width), "benchmark-windows")
     n_blocks = max(1, -(-windows.count() // block_windows))
     if n_blocks == 1:
-        return _scan(docs, text_col, windows.collect())
+        return _scan(docs, text_col, windows.collect(), keep_text)
     names = [name for name, _ in OUTPUTS]
     held = docs.drop(*names)
     for b in range(n_blocks):
@@ -172,7 +173,7 @@ def scan(
             found = found.drop(*[f"{c}_so_far" for c in names])
         # One block's scan ends before the next begins, so a task never holds two blocks.
         held = materialise(found, "benchmark-block")
-    return held
+    return held if keep_text else held.drop(text_col)
 
 
 def _merged_column(name: str):
@@ -201,30 +202,30 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, action: str = "document", text_col: str = "text", **limits
 ) -> DataFrame:
     """``docs`` without contaminated documents, or (``action="span"``) without their hit spans."""
-    names = [name for name, _ in OUTPUTS]
-    held = docs.select(F.struct("*").alias("__row"), F.col(f"`{text_col}`").alias("__text"))
-    found = scan(held, benchmark, "__text", **limits)
+    held, own = prefixed(docs, docs.columns, "own_")
+    text = f"own_{text_col}"
+    found = scan(held, benchmark, text, **limits)
     if action == "document":
-        return found.where(F.size("hit_words") == 0).select("__row.*")
-    if action != "span":
+        cleaned = found.where(F.size("hit_words") == 0)
+    elif action == "span":
+        cleaned = found.withColumn(text, _without_spans(F.col(f"`{text}`")))
+    else:
         raise ValueError(f"unknown action: {action}")
-    start = F.lit(0)
+    return cleaned.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(own, docs.columns, strict=True)])
+
+
+def _without_spans(text: Column) -> Column:
+    """The text without its ``hit_spans``; as it is, null included, if there are none."""
     pieces = F.aggregate(
         "hit_spans",
-        F.struct(start.alias("at"), F.lit("").alias("out")),
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
             s["end"].alias("at"),
-            F.concat(
-                acc["out"], F.substring(F.col("__text"), acc["at"] + 1, s["start"] - acc["at"])
-            ).alias("out"),
+            F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])).alias("out"),
         ),
     )
-    rest = F.substring(F.col("__text"), pieces["at"] + 1, F.char_length("__text"))
-    cleaned = F.when(F.size("hit_words") == 0, F.col("__text")).otherwise(F.concat(pieces["out"], rest))
-    out = found.withColumn("__clean", cleaned).drop(*names)
-    return out.select(
-        *[F.col("__clean" if c == text_col else f"__row.`{c}`").alias(c) for c in docs.columns]
-    )
+    rest = F.substring(text, pieces["at"] + 1, F.char_length(text))
+    return F.when(F.size("hit_words") == 0, text).otherwise(F.concat(pieces["out"], rest))
 
 
 ship(__name__)

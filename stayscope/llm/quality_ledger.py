@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayscope.llm.common import WHITE, WHITE_RUN, let, text_or_empty
+from stayscope.llm.common import WHITE, WHITE_RUN, let, prefixed, text_or_empty
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 3
@@ -107,7 +107,7 @@ def _measurements(text: Column) -> Column:
     )
 
 
-def ledger(docs: DataFrame) -> DataFrame:
+def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` plus measurements and ``failed_rules``, a long with the bit of each failed rule."""
     measured = {
         "n_words": "w.n_words",
@@ -121,7 +121,7 @@ def ledger(docs: DataFrame) -> DataFrame:
     held = "__measured"
     while held in docs.columns:
         held += "_"
-    out = docs.withColumn(held, _measurements(text_or_empty())).select(
+    out = docs.withColumn(held, _measurements(text_or_empty(F.col(f"`{text_col}`")))).select(
         *others, *[F.col(f"{held}.{path}").cast("long").alias(name) for name, path in measured.items()]
     )
     bits = [F.when(F.expr(rule), F.lit(BIT[name])).otherwise(0) for name, rule in RULES]
@@ -137,7 +137,10 @@ def passes(policy: Policy) -> Column:
 
 def apply_policy(docs: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
     """The documents that the policy keeps, with their own columns."""
-    return ledger(docs.select("*", F.struct("*").alias("__row"))).where(passes(policy)).select("__row.*")
+    # Under other names no column of the caller's is replaced by a measurement.
+    held, own = prefixed(docs, docs.columns, "own_")
+    kept = ledger(held, "own_text").where(passes(policy))
+    return kept.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(own, docs.columns, strict=True)])
 
 
 def ablation(ledgers: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:

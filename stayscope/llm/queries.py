@@ -166,7 +166,7 @@ FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and benchmark items hit in every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), keep_text=False)
     n_hit = decontaminate.n_hit()
     return found.select(
         "doc_id",
@@ -195,8 +195,7 @@ def model_path() -> str:
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, and digests of the ids and of what they decode to."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    encoded = sentence_pieces.encode(docs, model_path(), keep_text=False)
-    return sentence_pieces.decode(encoded, model_path()).select(
+    return sentence_pieces.round_trip(docs, model_path(), keep_text=False).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -44,6 +44,9 @@ MEMORY_SEGMENTS = 300_000
 #: Where a worker process keeps its segments between tasks.
 MEMORY_NAME = "_segments_of_this_worker"
 CHECKED_TOGETHER = 100
+PLACE_BITS = 40
+PLACE = (1 << PLACE_BITS) - 1
+RANK = ~PLACE
 SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
@@ -57,7 +60,8 @@ class Vocabulary:
 
     def __init__(self, model: bytes):
         self.model = model
-        self._open()
+        codecs.register_error("each_byte", each_byte)
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         sp, scores = self.library, {}
         self.ids: dict[str, int] = {}
         self.byte_ids: list[int] = [sp.unk_id()] * 256
@@ -79,24 +83,26 @@ class Vocabulary:
                 scores[piece] = sp.get_score(i)
                 self.raw.append(piece.replace(SPACE, " ").encode())
         self.splits = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
+        # Symbols are numbers: 0 for characters that no piece has, then characters, then longer pieces.
+        symbols = dict.fromkeys(sorted({c for p in self.ids for c in p}))
+        symbols |= dict.fromkeys(self.ids)
+        self.number = {s: k for k, s in enumerate(symbols, 1)}
+        self.id_of = [-1, *(self.ids.get(s, -1) for s in symbols)]
+        self.base = len(self.id_of)
         # Equal scores share a rank, so that the leftmost pair goes first among them.
         levels = {score: k for k, score in enumerate(sorted(set(scores.values()), reverse=True))}
-        self.ranks = {p: levels[score] for p, score in scores.items()}
+        #: Two symbols' numbers to the rank of their merger, in the high bits, and its number.
+        self.pairs: dict[int, int] = {}
+        for piece, score in scores.items():
+            packed = levels[score] << PLACE_BITS | self.number[piece]
+            for cut in range(1, len(piece)):
+                left, right = self.number.get(piece[:cut]), self.number.get(piece[cut:])
+                if left and right:
+                    self.pairs[left * self.base + right] = packed
         self.prefixed = {i for p, i in self.ids.items() if p.startswith(SPACE)}
         self.last_control = max(self.controls, default=-1)
         self.end_id = sp.eos_id()
 
-    def _open(self) -> None:
-        codecs.register_error("each_byte", each_byte)
-        self.library = sentencepiece.SentencePieceProcessor(model_proto=self.model)
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "library"}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self._open()
-
     def segments(self, text: str) -> list[str]:
         """The text's segments, each without its first space symbol (every segment has one)."""
         if not text:
@@ -106,45 +112,56 @@ class Vocabulary:
         shown = SPACE + text.replace(" ", SPACE)
         return [x[1:] for x in (SEGMENT.findall(shown) if self.splits else [shown])]
 
-    def merged(self, segment: str) -> list[str]:
-        """The segment's pieces: characters merged pair by pair from the agenda."""
-        symbols: list[str | None] = list(segment)
+    def merged(self, characters: str) -> list[int]:
+        """Per character its piece's number, or -1 if an earlier character's piece holds it."""
+        number, base, found = self.number.get, self.base, self.pairs.get
+        symbols = [number(c, 0) for c in characters]
         n = len(symbols)
-        ranks = self.ranks
-        agenda = [
-            (ranks[pair], i, i + 1, pair)
-            for i, pair in enumerate(map(str.__add__, symbols, symbols[1:]))
-            if pair in ranks
-        ]
+        # The agenda's entries: rank in the high bits, place of the left symbol in the low ones.
+        agenda = []
+        for i in range(n - 1):
+            pair = found(symbols[i] * base + symbols[i + 1])
+            if pair is not None:
+                agenda.append(pair & RANK | i)
+        if not agenda:
+            return symbols
         heapq.heapify(agenda)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         while agenda:
-            _, left, right, pair = heapq.heappop(agenda)
-            head, tail = symbols[left], symbols[right]
-            if head is None or tail is None or len(head) + len(tail) != len(pair):
+            entry = heapq.heappop(agenda)
+            left = entry & PLACE
+            right = after[left]
+            if symbols[left] < 0 or right == n:
+                continue
+            pair = found(symbols[left] * base + symbols[right])
+            if pair is None or pair & RANK != entry & RANK:
                 continue
-            symbols[left], symbols[right] = pair, None
+            symbols[left] = own = pair & PLACE
+            symbols[right] = -1
             after[left] = following = after[right]
-            if following >= 0:
+            if following < n:
                 before[following] = left
-                new = pair + symbols[following]
-                if new in ranks:
-                    heapq.heappush(agenda, (ranks[new], left, following, new))
+                pair = found(own * base + symbols[following])
+                if pair is not None:
+                    heapq.heappush(agenda, pair & RANK | left)
             preceding = before[left]
             if preceding >= 0:
-                new = symbols[preceding] + pair
-                if new in ranks:
-                    heapq.heappush(agenda, (ranks[new], preceding, left, new))
-        return [s for s in symbols if s is not None]
+                pair = found(symbols[preceding] * base + own)
+                if pair is not None:
+                    heapq.heappush(agenda, pair & RANK | preceding)
+        return symbols
 
     def encoded(self, segment: str) -> list[int]:
         """Ids of a segment that is given without its first space symbol."""
         out: list[int] = []
-        for piece in self.merged(SPACE + segment):
-            if (i := self.ids.get(piece)) is not None:
-                out.append(i)
+        characters, id_of = SPACE + segment, self.id_of
+        for i, symbol in enumerate(self.merged(characters)):
+            if symbol < 0:
+                continue
+            if (piece := id_of[symbol]) >= 0:
+                out.append(piece)
             else:
-                out += [self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")]
+                out += [self.byte_ids[b] for b in characters[i].encode("utf-8", "surrogatepass")]
         return out
 
     def decoded(self, ids: list[int]) -> str:
@@ -192,12 +209,12 @@ class Segments(dict):
             self.clear()
 
 
-def remembered(vocabulary: Vocabulary) -> Segments:
-    """The segments this worker process has met, in this task or an earlier one."""
+def remembered(model: bytes) -> Segments:
+    """The vocabulary and the segments this worker process has met, in this task or an earlier one."""
     held = sys.modules.setdefault(MEMORY_NAME, types.ModuleType(MEMORY_NAME)).__dict__
-    key = hashlib.sha256(vocabulary.model).hexdigest()
+    key = hashlib.sha256(model).hexdigest()
     if key not in held:
-        held[key] = Segments(vocabulary)
+        held[key] = Segments(Vocabulary(model))
     return held[key]
 
 
@@ -213,44 +230,78 @@ def compare(vocabulary: Vocabulary, texts: list[str], ours: list[list[int]], who
 
 
 def read_vocabulary(model_path: str) -> Vocabulary:
+    return Vocabulary(_read(model_path))
+
+
+def _read(model_path: str) -> bytes:
     with open(model_path, "rb") as f:
-        return Vocabulary(f.read())
+        return f.read()
+
+
+def _encoder(known: Segments, check: str):
+    """The kernel of :func:`encode`: texts to ids, checked before they are given out."""
+    vocabulary = known.vocabulary
+    end = np.array([vocabulary.end_id], dtype="<i4").tobytes()
+
+    def kernel(texts: list[str]) -> list[bytes]:
+        packed = [b"".join(map(known.__getitem__, vocabulary.segments(text))) + end for text in texts]
+        known.check()
+        if check == "texts":
+            compare(vocabulary, texts, [np.frombuffer(p, dtype="<i4").tolist() for p in packed], whole=True)
+        return packed
+
+    return kernel
+
+
+def _lists(packed: list[bytes]) -> pa.Array:
+    offsets = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype="<i4")))
+
+
+def _checked(check: str) -> str:
+    if check not in ("segments", "texts"):
+        raise ValueError(f"unknown check: {check}")
+    return check
 
 
 def encode(
     docs: DataFrame, model_path: str, text_col: str = "text", check: str = "segments", keep_text: bool = True
 ) -> DataFrame:
     """``docs`` plus ``ids``, the pieces of each whole text and the end id."""
-    if check not in ("segments", "texts"):
-        raise ValueError(f"unknown check: {check}")
-    vocabulary = read_vocabulary(model_path)
+    model, check = _read(model_path), _checked(check)
 
     def start():
-        known = remembered(vocabulary)
-        end = np.array([vocabulary.end_id], dtype="<i4").tobytes()
-
-        def kernel(texts):
-            packed = []
-            for text in texts:
-                packed.append(b"".join(map(known.__getitem__, vocabulary.segments(text))) + end)
-            known.check()
-            if check == "texts":
-                ours = [np.frombuffer(p, dtype="<i4").tolist() for p in packed]
-                compare(vocabulary, texts, ours, whole=True)
-            offsets = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(packed), dtype="<i4"))
-            return [pa.ListArray.from_arrays(pa.array(offsets), values)]
-
-        return kernel
+        kernel = _encoder(remembered(model), check)
+        return lambda texts: [_lists(kernel(texts))]
 
     return map_text(docs, text_col, [("ids", "array<int>")], start, keep_text)
 
 
+def round_trip(
+    docs: DataFrame, model_path: str, text_col: str = "text", check: str = "segments", keep_text: bool = True
+) -> DataFrame:
+    """``docs`` plus ``ids`` and ``decoded``, the text that they decode to, in one pass."""
+    model, check = _read(model_path), _checked(check)
+
+    def start():
+        known = remembered(model)
+        kernel, decoded = _encoder(known, check), known.vocabulary.decoded
+
+        def both(texts):
+            packed = kernel(texts)
+            return [_lists(packed), [decoded(np.frombuffer(p, dtype="<i4").tolist()) for p in packed]]
+
+        return both
+
+    return map_text(docs, text_col, [("ids", "array<int>"), ("decoded", "string")], start, keep_text)
+
+
 def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``docs`` plus the text of ``ids_col``; null ids give an empty text."""
-    vocabulary = read_vocabulary(model_path)
+    model = _read(model_path)
 
     def decoded(batches):
+        vocabulary = remembered(model).vocabulary
         for ids in batches:
             yield pd.Series([vocabulary.decoded(x.tolist()) if x is not None else "" for x in ids], dtype=object)
 

@@ -82,7 +82,7 @@ def test_fit_follows_the_gradient_of_the_likelihood():
 
 HELD_OUT = [
     ("please call (212) 321-7788 before ten", "crf_phone", "(212) 321-7788"),
-    ("mail bob at example dot org today", None, None),
+    ("mail bob at example dot org today", "crf_email", "bob at example dot org"),
     ("ssn 111-22-3333 was on the form", "crf_id", "111-22-3333"),
     ("ring 555-222-1111 now", "crf_phone", "555-222-1111"),
     ("in 2021 there were 512 cases in 14 towns", None, None),
