@@ -31,10 +31,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that the line rule drops."""
-    held = docs.select("doc_id", "text", F.struct("*").alias("row"))
-    kept = line_dedup.dedup_lines(held)
-    new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
-    return kept.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    own = [f"own_{c}" for c in others]
+    kept = line_dedup.dedup_lines(docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for c, n in zip(others, own)]))
+    new = dict(zip(others, own, strict=True)) | {"doc_id": "doc_id", "text": "text"}
+    length = {"n_chars": F.char_length("text").cast("long")}
+    return kept.select(*[length.get(c, F.col(f"`{new[c]}`")).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +55,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text's pieces, their number, and the text that they decode to."""
-    encoded = sentence_pieces.encode(docs.select("doc_id", "text"), model_path(), keep_text=False)
-    return sentence_pieces.decode(encoded, model_path()).select(
+    return sentence_pieces.round_trip(docs.select("doc_id", "text"), model_path(), keep_text=False).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded"
     )
 
