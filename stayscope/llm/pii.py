@@ -103,6 +103,21 @@ He said: "No, not at all!" and left. What now? We wait.
 Der Hund lief nach Hause. Das Wetter war gut, aber kalt.
 La maison est grande. Il y a un jardin et une porte.
 El perro come en la casa. La noche es larga y oscura.
+they came to marlow at lunden and to fell at orsin with a gron
+nerth to valden at corrin were at at at at once and again
+it is brandle at morst of quilly, to fend a loser at berrin
+she went to thorn at fenwick to see the lorst of it
+and mell to sarn at drew the olden at ferrit to plen
+gorring at tunder is to be at snelling for the hannet
+write to the people at merrow about it, and mail the rest at noon
+the mail at the door, the contact at the bank, the address at the gate
+to dremble at an hour, to fordle at a place, at best
+un morceau at la porte to renard at soir et
+wirr to hinder at dem morgen at zanken und
+dot by dot to the line at last, at the very dot
+ask at home or call at work; send at will
+at at at at at at at
+quorn quorn at at at quorn quorn to to at
 import numpy as np; from os.path import join
 if a.b == c.d[x]: return self.name.lower() # done
 one - two - three / four: five; six, seven. Eight
@@ -322,9 +337,8 @@ class Tables(dict):
 
     def read(self, text: str, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shapes and words of the tokens."""
-        packed = np.fromiter(
-            (self[text[a:b]] for a, b in zip(memoryview(starts), memoryview(ends), strict=True)), np.int64, len(starts)
-        )
+        tokens = map(text.__getitem__, map(slice, starts.tolist(), ends.tolist()))
+        packed = np.fromiter(map(self.__getitem__, tokens), np.int64, len(starts))
         both, word = np.divmod(packed, len(self.word))
         alone, glued = np.divmod(both, self.n)
         touches = np.zeros(len(starts), dtype=bool)
@@ -456,9 +470,9 @@ def silver_lines(docs: DataFrame, text_col: str = "text", limit: int = SILVER_LI
     """At most ``limit`` distinct short lines with a digit or ``@``, those of smallest hash."""
     lines = docs.select(F.explode(F.split(text_or_empty(F.col(f"`{text_col}`")), "\n")).alias("line"))
     short = lines.where((F.char_length("line") <= SILVER_CHARS) & F.col("line").rlike("[0-9@]"))
-    ordered = short.select("line", F.xxhash64("line").alias("h")).orderBy("h", "line")
-    # Repeated lines are neighbours in this order, and at most a bounded number is looked at.
-    return list(dict.fromkeys(r.line for r in ordered.limit(limit).collect()))
+    # Distinct first: a line that many documents repeat takes one place.
+    ordered = short.select("line").distinct().orderBy(F.xxhash64("line"), "line")
+    return [r.line for r in ordered.limit(limit).collect()]
 
 
 OUTPUTS = [
