@@ -428,10 +428,15 @@ def feature_stddev(spark, sf_dir):
 
 @query(
     "scaled_features",
-    f"""WITH {_DYNAMIC_SQL},{_STDDEV_SQL}
-    SELECT t.id, t.feature,
-           round(CASE WHEN s.stddev > 1e-9 THEN t.value / s.stddev ELSE 0 END, 4) AS value
-    FROM tuples t JOIN stddevs s ON t.feature = s.feature""",
+    f"""WITH {_DYNAMIC_SQL},
+known AS MATERIALIZED (SELECT id, feature, value FROM tuples),
+moments AS MATERIALIZED (
+  SELECT feature, sum(value) AS s1, sum(value * value) AS s2, (SELECT count(*) FROM cohort) AS n
+  FROM known GROUP BY feature),
+stddevs AS MATERIALIZED (
+  SELECT feature, sqrt(greatest((s2 - s1 * s1 / n) / (n - 1), 0)) AS stddev FROM moments)
+SELECT t.id, t.feature, round(CASE WHEN s.stddev > 1e-9 THEN t.value / s.stddev ELSE 0 END, 4) AS value
+FROM known t JOIN stddevs s USING (feature)""",
 )
 def scaled_features(spark, sf_dir):
     tuples = stored_tuples(spark, sf_dir)
