@@ -146,8 +146,14 @@ def cross_validate(
     folds: int = 5,
     seed: int = 11,
     parallelism: int = 4,
+    fold_col: str = "",
 ) -> CrossValidatorModel:
-    """Search the L2 strength of the indexed logistic regression by cross-validation."""
+    """Search the L2 strength of the indexed logistic regression by cross-validation.
+
+    ``fold_col`` names a column of ``train`` with each row's fold (see
+    :func:`stayscope.operators.split.with_fold`); by default rows fall into folds at random, which
+    depends on how they are laid out.
+    """
     stages = indexed_lr_stages(data)
     lr = stages.getStages()[2]
     validator = CrossValidator(
@@ -159,5 +165,6 @@ def cross_validate(
         numFolds=folds,
         seed=seed,
         parallelism=parallelism,
+        foldCol=fold_col,
     )
     return validator.fit(train)

@@ -32,6 +32,11 @@ def split_by_hash(
     return df.filter(first), df.filter(~first)
 
 
+def with_fold(df: DataFrame, folds: int = 5, id_col: str = "id", seed: int = 11, name: str = "fold") -> DataFrame:
+    """``df`` plus the fold of each row, from 0; an id has the same fold however data is laid out."""
+    return df.withColumn(name, (split_bucket(F.col(id_col), seed) % folds).cast("int"))
+
+
 def split_random(
     df: DataFrame, fraction: float = 0.7, seed: int = 11
 ) -> tuple[DataFrame, DataFrame]:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stayscope.operators import gradient, matrix, metrics, models, scaling, split
 from stayscope.plans import study
+from stayscope.sources import sinks
 from stayscope.storage import materialise, new_path
 from stayscope.workload import roles, text_queries
 from stayscope.workload.cohort_queries import cohort
@@ -131,12 +132,47 @@ def planted_indexed_lr(spark, sf_dir):
     return fitted.select("id", "label", "predicted_label")
 
 
+@query(
+    "cv_folds",
+    f"""WITH {roles.COHORT_SQL},
+    placed AS (SELECT CAST(('0x' || substr(md5('11:' || CAST(id AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 % 5 AS fold, label
+      FROM cohort)
+    SELECT CAST(fold AS INT) AS fold, count(*) AS n, count(*) FILTER (label > 0.5) AS n_pos,
+      count(*) FILTER (label <= 0.5) AS n_neg FROM placed GROUP BY fold""",
+)
+def cv_folds(spark, sf_dir):
+    """Rows and classes of each fold of the cross-validation."""
+    placed = split.with_fold(cohort(spark, sf_dir).select("id", "label"))
+    positive = F.col("label") > 0.5
+    return placed.groupBy("fold").agg(
+        F.count("*").alias("n"), F.count_if(positive).alias("n_pos"), F.count_if(~positive).alias("n_neg")
+    )
+
+
+@query(
+    "store_overwrite",
+    f"""WITH {_DYNAMIC_SQL}, sizes AS (SELECT id, count(*) AS n FROM tuples GROUP BY id)
+    SELECT 'in_stay_24h' AS cohort, 'first' AS feature_set, id, n FROM sizes
+    UNION ALL SELECT 'in_stay_24h', 'second', id, n FROM sizes WHERE id % 2 = 0""",
+)
+def store_overwrite(spark, sf_dir):
+    """A store of two feature sets of which one is written anew, with half its rows."""
+    rows = _stored_matrix(spark, sf_dir).withColumn("cohort", F.lit("in_stay_24h"))
+    first, second = (rows.withColumn("feature_set", F.lit(name)) for name in ("first", "second"))
+    path = new_path(spark, "store")
+    sinks.write_feature_store(first.unionByName(second), path)
+    sinks.write_feature_store(second.where(F.col("id").cast("long") % 2 == 0), path, replace="sets")
+    stored = spark.read.parquet(path)
+    return stored.select("cohort", "feature_set", "id", F.size("features.indices").cast("long").alias("n"))
+
+
 @query("cv_grid")
 def cv_grid(spark, sf_dir):
     """Mean cross-validated area per regularisation strength."""
     data = dynamic_matrix(spark, sf_dir)
     train, _ = split.split_by_hash(data)
-    fitted = models.cross_validate(train.persist(), data)
+    train = split.with_fold(train)
+    fitted = models.cross_validate(train.persist(), data, fold_col="fold")
     train.unpersist()
     rows = list(zip(map(float, models.REG_GRID), map(float, fitted.avgMetrics)))
     return spark.createDataFrame(rows, "reg double, mean_auc double")
