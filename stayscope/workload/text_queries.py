@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from stayscope.functions import text as tx
 from stayscope.operators import notes as nt
+from stayscope.plans import study
 from stayscope.sources.scan import spread_scan
-from stayscope.storage import materialise
+from stayscope.storage import materialise, new_path
 from stayscope.workload import roles
 from stayscope.workload.registry import query
 
@@ -18,6 +19,21 @@ STOP_WORDS = """
     el los las por para Patient NOTE
 """.split()
 
+# The default English stop words, as the SQL twin needs them.
+ENGLISH = """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she
+    her hers herself it its itself they them their theirs themselves what which who whom this that
+    these those am is are was were be been being have has had having do does did doing a an the and
+    but if or because as until while of at by for with about against between into through during
+    before after above below to from up down in out on off over under again further then once here
+    there when where why how all any both each few more most other some such no nor not only own
+    same so than too very s t can will just don should now i'll you'll he'll she'll we'll they'll
+    i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+    they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't
+    shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's
+    what's when's where's who's why's would
+""".split()
+
 
 def documents(spark, sf_dir):
     docs = roles.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
@@ -68,6 +84,21 @@ def clean_text(spark, sf_dir):
     return documents(spark, sf_dir).select(F.col("id").alias("doc_id"), cleaned)
 
 
+@query(
+    "stopword_default",
+    f"""WITH {_WORDS_SQL}
+    SELECT word AS term, count(*) AS n, count(DISTINCT id) AS documents FROM words
+    WHERE word NOT IN ({_sql_list({w.lower() for w in (*ENGLISH, *STOP_WORDS)})}) GROUP BY word""",
+)
+def stopword_default(spark, sf_dir):
+    """Terms that the default English list and a file of further words leave."""
+    path = new_path(spark, "words")
+    lines = spark.createDataFrame([(",".join(STOP_WORDS[i : i + 7]),) for i in range(0, len(STOP_WORDS), 7)], "value string")
+    lines.write.text(path)
+    terms = nt.term_counts(documents(spark, sf_dir), stop_words=study.stop_words_with(spark, path))
+    return terms.groupBy("term").agg(F.sum("n").alias("n"), F.count("*").alias("documents"))
+
+
 @query(
     "tokenize_docs",
     f"WITH {_WORDS_SQL} SELECT id, count(*) AS n_tokens, count(DISTINCT word) AS n_terms FROM words GROUP BY id",
