@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stayscope.config import IN_STAY
+from stayscope.config import IN_STAY, OUTCOMES
 from stayscope.operators import cohort as co
 from stayscope.workload import roles
 from stayscope.workload.registry import query
@@ -102,6 +102,42 @@ def outcome_labels(spark, sf_dir):
     return anchored.select("id", gap.cast("int").alias("days_after"), *labels)
 
 
+@query(
+    "labels_by_year",
+    """WITH stays AS (
+      SELECT o_custkey AS id, o_orderdate AS in_ts, o_orderdate + INTERVAL 2 DAY AS out_ts FROM orders
+      QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) = 1),
+    people AS (
+      SELECT o_custkey AS id, o_custkey % 3 <> 0 AS dead,
+        max(o_orderdate) + to_days(CAST(o_custkey % 400 AS INT)) + to_hours(CAST(o_custkey % 24 AS INT)) AS dod
+      FROM orders GROUP BY o_custkey),
+    gaps AS (
+      SELECT id, dead, dod, in_ts, out_ts, (epoch_us(dod) - epoch_us(out_ts)) / 86400e6 AS days
+      FROM people JOIN stays USING (id))
+    SELECT id, CAST(dead AND dod >= in_ts AND dod <= out_ts AS DOUBLE) AS in_icu,
+      CAST(dead AND days > 0 AND floor(days) <= 30 AS DOUBLE) AS in_30d,
+      CAST(dead AND days > 0 AND floor(days) > 30 AND floor(days) <= 365 AS DOUBLE) AS in_1y FROM gaps""",
+)
+def labels_by_year(spark, sf_dir):
+    """The standard outcomes, up to 30 and 31 to 365 days after a stay, on order dates."""
+    orders = roles.table(spark, sf_dir, "orders")
+    two_days = F.make_dt_interval(F.lit(2))
+    stays = orders.select(
+        F.col("o_custkey").alias("id"), F.col("o_orderdate").alias("in_ts"), (F.col("o_orderdate") + two_days).alias("out_ts")
+    )
+    later = F.make_dt_interval((F.col("id") % 400).cast("int"), (F.col("id") % 24).cast("int"))
+    people = orders.groupBy(F.col("o_custkey").alias("id")).agg(F.max("o_orderdate").alias("last")).select(
+        "id",
+        F.lit(True).alias("is_male"),
+        co.dates.timestamp_lit("1950-01-01 00:00:00").alias("dob"),
+        (F.col("id") % 3 != 0).cast("int").alias("is_dead"),
+        (F.col("last") + later).alias("dod"),
+    )
+    anchored = co.anchored_entities(people, stays)
+    names = ("in_icu", "in_30d", "in_1y")
+    return anchored.select("id", *[co.label_of(o).alias(n) for o, n in zip(OUTCOMES, names, strict=True)])
+
+
 @query(
     "index_date_hourly",
     f"""WITH {roles.GRID_SQL}
