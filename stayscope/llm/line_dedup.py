@@ -6,14 +6,15 @@ in all of them but the one with the largest id.
 
 Method. Only 128-bit hashes of keys travel, never text. They are range-partitioned by hash and
 document, so a line that a third of the corpus repeats is spread over many tasks, and sorted
-within the partition by document (largest first) and position; the first occurrence of each
-hash in each document streams out of that order, and a second, map-side combined aggregation
-leaves one row per hash. The lines to drop come back as sparse bitmaps, the non-zero 64-bit
+within the partition by hash, document and position, once; a row number that restarts with every
+hash and document streams the first occurrences out of that order, without a second exchange, and a
+map-side combined aggregation leaves one row per hash. The lines to drop come back as sparse bitmaps, the non-zero 64-bit
 words only, one row per document.
 
 The text is shuffled once, and only by ``apply_bitmaps``, which needs both sides together.
 
 Edge cases: a null or empty text is one empty line, which is never dropped for being short.
+A very long text is split whole: its lines are rows of their own until they are bits again.
 A null id is smaller than any other; if all holders of a key have null ids the lines stay.
 Rows are told apart by id and text: identical rows share one bitmap, and rows of one id count as
 one document. Columns of the caller are kept, whatever their names; an empty table gives none.
@@ -22,7 +23,7 @@ Two different keys meet in 128 bits of hash with a chance of n^2 / 2^129.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayscope.llm.common import WHITE, ascii_lower, let, text_or_empty
@@ -51,6 +52,16 @@ def keyed_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
     )
 
 
+def first_occurrences(lines: DataFrame) -> DataFrame:
+    """The first of each document's rows of a hash, streamed from the rows in order.
+
+    A window's group is one line of one document, so no group grows with the corpus.
+    """
+    in_order = lines.repartitionByRange(*HASH, "doc").sortWithinPartitions(*HASH, "doc", "pos")
+    place = F.row_number().over(Window.partitionBy(*HASH, "doc").orderBy("pos"))
+    return in_order.withColumn("place", place).where("place = 1").drop("place")
+
+
 def keep_bitmaps(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -65,11 +76,8 @@ def keep_bitmaps(
     text, to tell rows of one id apart.
     """
     lines = materialise(keyed_lines(docs, id_col, text_col, min_chars), "dedup-lines")
-    ordered = lines.repartitionByRange(*HASH, F.desc("doc")).sortWithinPartitions(
-        *HASH, F.desc("doc"), "pos"
-    )
-    # Range partitioning by exactly these keys serves the grouping: no second exchange.
-    first_in_doc = ordered.groupBy(*HASH, "doc").agg(F.min("pos").alias("pos"))
+    # Both the range partitioning and the order within serve the window: one exchange, one sort.
+    first_in_doc = first_occurrences(lines)
     repeated = (
         first_in_doc.groupBy(*HASH)
         .agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper"))

@@ -59,3 +59,15 @@ def test_hot_line_and_nulls(spark):
 
 def test_empty_table(spark):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
+
+
+def test_first_occurrences_stream_from_one_sort(spark):
+    rows = [(d, 0, pos, h, h) for d in (None, 1, 2) for h in range(5) for pos in (7, 3, 9)]
+    lines = spark.createDataFrame(rows, "doc bigint, row bigint, pos int, h1 bigint, h2 bigint")
+    first = line_dedup.first_occurrences(lines)
+    plan = first._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert len(re.findall(r"\bSort \[", plan)) == 1
+    assert re.findall(r"\bExchange (\w+)", plan) == ["rangepartitioning"]
+    assert re.search(r"Sort \[h1#\w+ ASC NULLS FIRST, h2#\w+ ASC NULLS FIRST, doc#\w+ ASC NULLS FIRST, pos#", plan)
+    found = sorted(((r.doc or 0, r.h1, r.pos) for r in first.collect()))
+    assert found == sorted((d or 0, h, 3) for d in (None, 1, 2) for h in range(5))
