@@ -35,6 +35,13 @@ def shared_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes an intermediate table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+
+
 _SCOPES: list[list[str]] = []
 
 
@@ -51,9 +58,7 @@ def scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _SCOPES.remove(made)
         for path in made:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-            files.delete(target, True)
+            discard(spark, path)
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stayscope.functions import text as tx
 from stayscope.operators import notes as nt
+from stayscope.operators import topics
 from stayscope.plans import study
 from stayscope.sources.scan import spread_scan
 from stayscope.storage import materialise, new_path
@@ -199,3 +200,83 @@ def note_topics(spark, sf_dir):
 def topic_terms(spark, sf_dir):
     model, _, vocab = _topic_model(spark, sf_dir)
     return nt.topic_terms(model, vocab)
+
+
+#: Small enough for a twin that spells every round out.
+_FEW_TOPICS, _FEW_ROUNDS = 4, 3
+
+
+def _topics_sql() -> str:
+    """Rounds of expectation maximisation as one common table expression after another."""
+    k = _FEW_TOPICS
+    parts = [
+        f"""{_WORDS_SQL},
+        size AS (SELECT count(DISTINCT term) AS n_terms FROM counts),
+        g0 AS MATERIALIZED (SELECT id, term, topic, n, n * w / sum(w) OVER (PARTITION BY id, term) AS g FROM (
+          SELECT id, term, topic, n, CAST(('0x' || substr(md5('{topics.SEED}:' || CAST(id AS VARCHAR) || ':' || term
+            || ':' || CAST(topic AS VARCHAR)), 1, 8)) AS BIGINT) % {topics.STEPS} + 1 AS w
+          FROM (SELECT *, unnest(range({k})) AS topic FROM counts)))"""
+    ]
+    for r in range(_FEW_ROUNDS + 1):
+        parts.append(
+            f"""d{r} AS MATERIALIZED (SELECT id, topic, sum(g) AS w FROM g{r} GROUP BY id, topic),
+            t{r} AS MATERIALIZED (SELECT term, topic, sum(g) AS w FROM g{r} GROUP BY term, topic),
+            s{r} AS MATERIALIZED (SELECT topic, sum(g) AS w, max(n_terms) AS n_terms FROM g{r}, size GROUP BY topic)"""
+        )
+        if r < _FEW_ROUNDS:
+            parts.append(
+                f"""g{r + 1} AS MATERIALIZED (
+                SELECT id, term, topic, n, n * w / sum(w) OVER (PARTITION BY id, term) AS g FROM (
+                  SELECT g.id, g.term, g.topic, g.n, (d.w + {topics.DOCUMENT_PRIOR / k}) * (t.w + {topics.TERM_PRIOR})
+                    / (s.w + s.n_terms * {topics.TERM_PRIOR}) AS w
+                  FROM g{r} g JOIN d{r} d ON g.id = d.id AND g.topic = d.topic
+                  JOIN t{r} t ON g.term = t.term AND g.topic = t.topic JOIN s{r} s ON g.topic = s.topic))"""
+            )
+    return ",\n".join(parts)
+
+
+def _few_topics(spark, sf_dir):
+    return topics.fit_topics(counts(spark, sf_dir), _FEW_TOPICS, _FEW_ROUNDS)
+
+
+@query(
+    "topic_shares",
+    f"""WITH {_topics_sql()}
+    SELECT CAST(id AS VARCHAR) AS id, 'topic-' || CAST(topic AS VARCHAR) AS feature,
+      round(w / sum(w) OVER (PARTITION BY id), 6) AS value FROM d{_FEW_ROUNDS}""",
+)
+def topic_shares(spark, sf_dir):
+    """Share of each topic in each document, by expectation maximisation over edges."""
+    rows = topics.topic_tuples(_few_topics(spark, sf_dir))
+    return rows.select("id", "feature", F.round("value", 6).alias("value"))
+
+
+@query(
+    "topic_term_weights",
+    f"""WITH {_topics_sql()}
+    SELECT term, CAST(topic AS INT) AS topic, round(w, 5) AS weight FROM t{_FEW_ROUNDS}""",
+)
+def topic_term_weights(spark, sf_dir):
+    """Weight of each term in each topic, by the same model."""
+    spread = _few_topics(spark, sf_dir).terms.select("term", F.posexplode("w").alias("topic", "weight"))
+    return spread.select("term", "topic", F.round("weight", 5).alias("weight"))
+
+
+@query(
+    "topic_mass",
+    f"""WITH words AS (
+      SELECT id, word FROM (
+        SELECT conv_id AS id,
+          unnest(regexp_split_to_array(lower({_clean_sql("' ' || text || ' '")}), '\\s+')) AS word
+        FROM conversations) WHERE length(word) >= 1)
+    SELECT CAST(id AS VARCHAR) AS id, CAST({topics.TOPICS} AS INT) AS n_topics,
+      CAST(count(*) AS DOUBLE) AS tokens FROM words
+    WHERE word NOT IN ({_sql_list(w.lower() for w in STOP_WORDS)}) GROUP BY id""",
+)
+def topic_mass(spark, sf_dir):
+    """Tokens of all notes as the topics of the full model share them out: none is lost or doubled."""
+    found = nt.term_counts(roles.notes(spark, sf_dir), stop_words=STOP_WORDS, inner=True)
+    total = F.aggregate("w", F.lit(0.0), lambda a, b: a + b)
+    return topics.fit_topics(found).documents.select(
+        "id", F.size("w").alias("n_topics"), F.round(total, 3).alias("tokens")
+    )
