@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stayscope.storage import materialise
+
 MAX_HOT_KEYS = 10_000
 MIN_HOT_ROWS = 1_000_000
 SMALL_BYTES = 256 * 1024 * 1024
@@ -16,6 +19,13 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` only reads, filters and projects one table, so that reading it again is cheap."""
+    plan = str(df._jdf.queryExecution().optimizedPlan().toString())
+    nodes = [re.match(r"[\s:+\-]*(\w+)", line)[1] for line in plan.splitlines() if line.strip()]
+    return all(n in ("Project", "Filter", "Relation", "LocalRelation", "LogicalRDD") for n in nodes)
+
+
 def hot_keys(
     df: DataFrame,
     key: str | Sequence[str],
@@ -54,12 +64,19 @@ def skew_join(
     which Catalyst and AQE choose the strategy. Below ``small_bytes`` even a single key
     fits one task, and looking for hot keys would only cost another scan.
 
-    ``many`` is read up to three times: pass a scan or a written table, not a costly plan.
+    ``many`` is read up to three times and ``one`` twice, so either is written first if it is more
+    than a scan; the size of ``many`` is then that of its files and no longer a guess.
     """
     if how not in ("inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     keys = [key] if isinstance(key, str) else list(key)
-    if estimated_bytes(many) <= small_bytes:
+    small = estimated_bytes(many) <= small_bytes
+    if not small and not is_scan(many):
+        many = materialise(many, "skew-many")
+        small = estimated_bytes(many) <= small_bytes
+    if not small and not is_scan(one):
+        one = materialise(one, "skew-one")
+    if small:
         joined = many.join(one, keys, how)
     else:
         hot = F.broadcast(hot_keys(many, keys, max_keys, min_rows))

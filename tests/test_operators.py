@@ -48,6 +48,17 @@ def test_skew_join_equals_plain_join(skewed, cohort, how, max_keys):
     assert rows(split_join.select(plain.columns)) == rows(plain)
 
 
+def test_skew_join_runs_costly_inputs_once(skewed, cohort):
+    counted = skewed.groupBy("id").count().join(skewed, "id")
+    assert skew.is_scan(skewed.filter("id <> 'x'").select("id")) and not skew.is_scan(counted)
+    one = cohort.groupBy("id").count().select("id")
+    joined = skew.skew_join(counted, one, "id", how="left_semi", **HOT)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    # Only hot keys are still counted: once in each branch, over the written table.
+    assert plan.count("Aggregate [id") == 3 and plan.count("Relation [") == 7
+    assert sorted(rows(joined)) == sorted(rows(counted.join(one, "id", "left_semi")))
+
+
 def test_skew_join_does_not_shuffle_hot_rows(skewed, cohort):
     plan = skew.skew_join(skewed, cohort, "id", **HOT)._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
