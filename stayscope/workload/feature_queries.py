@@ -10,9 +10,10 @@ from stayscope.operators import cohort as co
 from stayscope.operators import events as ev
 from stayscope.operators import matrix as mx
 from stayscope.operators import scaling, split, static
+from stayscope.plans import study
 from stayscope.sources import libsvm, sinks
 from stayscope.storage import materialise, new_path
-from stayscope.workload import roles
+from stayscope.workload import roles, text_queries
 from stayscope.workload.cohort_queries import cohort, grid
 from stayscope.workload.registry import query
 
@@ -37,25 +38,54 @@ def event_tuples(spark, sf_dir, members):
     return {"diag": diag, "med": med, "lab": lab}
 
 
-def all_tuples(spark, sf_dir):
-    """Every family of the 24-hour in-stay cohort in one table."""
-    members = materialise(cohort(spark, sf_dir), "cohort")
-    ids = members.select("id")
-    scores = static.latest_scores(
-        roles.scores(spark, sf_dir), tie_break=["l_partkey", "l_suppkey"]
+#: Topics and rounds of the checked store: few, as its twin spells every round out.
+STORE_TOPICS, STORE_ROUNDS = 4, 3
+STORE_STOP_WORDS = (*text_queries.ENGLISH, *text_queries.STOP_WORDS)
+
+
+def store_config(spark, **changes):
+    """All cohorts and families, with the default English stop words and further ones."""
+    settings = dict(
+        feature_dir=new_path(spark, "features"),
+        output_dir=new_path(spark, "output"),
+        outcomes=roles.OUTCOMES,
+        score_names=roles.SCORE_NAMES,
+        flag_names=roles.FLAG_NAMES,
+        stop_words=(*study.stop_words_with(spark, None), *text_queries.STOP_WORDS),
+        topics=STORE_TOPICS,
+        topic_iterations=STORE_ROUNDS,
     )
-    flags = static.latest_flags(roles.flags(spark, sf_dir))
-    families = {
-        "base": static.base_tuples(members),
-        "scores": static.wide_to_tuples(scores.join(ids, "id", "left_semi"), roles.SCORE_NAMES),
-        "flags": static.wide_to_tuples(flags.join(ids, "id", "left_semi"), roles.FLAG_NAMES),
-        **event_tuples(spark, sf_dir, members),
-    }
-    merged = None
-    for family, tuples in families.items():
-        named = tuples.select(F.lit(family).alias("family"), "id", "feature", "value")
-        merged = named if merged is None else merged.unionByName(named)
-    return merged
+    return study.StudyConfig(**{**settings, **changes})
+
+
+def all_tuples(spark, sf_dir):
+    """Every family of every cohort in one table: ``(cohort, family, id, feature, value)``."""
+    return study.study_tuples(roles.inputs(spark, sf_dir), store_config(spark))[0]
+
+
+_ALL_TUPLES_SQL = f"""{roles.GRID_SQL},{roles.CODES_SQL},{roles.SCORES_SQL},{roles.FLAGS_SQL},
+members AS MATERIALIZED (SELECT cohort, id, is_male, age, index_ts FROM grid),
+score_tuples AS (
+  {roles.unpivot_sql("latest_scores", roles.SCORE_NAMES)}),
+flag_tuples AS (
+  {roles.unpivot_sql("latest_flags", roles.FLAG_NAMES)}),{text_queries.note_words_sql(STORE_STOP_WORDS)},
+edges AS MATERIALIZED (
+  SELECT g.cohort AS corpus, w.id, w.term, count(*) AS n
+  FROM note_words w JOIN members g ON w.id = g.id AND w.ts <= g.index_ts GROUP BY g.cohort, w.id, w.term),
+{text_queries.topics_sql(STORE_TOPICS, STORE_ROUNDS)},
+tuples AS MATERIALIZED (
+  SELECT cohort, 'base' AS family, id, 'patient_age' AS feature, age AS value FROM members
+  UNION ALL SELECT cohort, 'base', id, 'patient_sex', CAST(is_male AS DOUBLE) FROM members
+  UNION ALL SELECT g.cohort, 'scores', t.id, t.feature, t.value FROM score_tuples t JOIN members g ON t.id = g.id
+  UNION ALL SELECT g.cohort, 'flags', t.id, t.feature, t.value FROM flag_tuples t JOIN members g ON t.id = g.id
+  UNION ALL SELECT g.cohort, 'diag', d.id, 'DIAG-' || code, CAST(count(*) AS DOUBLE)
+    FROM diagnoses d JOIN members g ON d.id = g.id GROUP BY g.cohort, d.id, code
+  UNION ALL SELECT g.cohort, 'med', m.id, 'MED-' || code, CAST(count(*) AS DOUBLE)
+    FROM medications m JOIN members g ON m.id = g.id AND m.ts <= g.index_ts GROUP BY g.cohort, m.id, code
+  UNION ALL SELECT g.cohort, 'lab', l.id, 'LAB-' || code, avg(value)
+    FROM labs l JOIN members g ON l.id = g.id AND l.ts <= g.index_ts GROUP BY g.cohort, l.id, code
+  UNION ALL SELECT corpus, 'notes', id, 'topic-' || CAST(topic AS VARCHAR), w / sum(w) OVER (PARTITION BY corpus, id)
+    FROM d{STORE_ROUNDS})"""
 
 
 def dynamic_tuples(spark, sf_dir):
@@ -242,15 +272,15 @@ def _set_members_sql() -> str:
     rows = [
         f"('{s.name}', '{family}')" for s in config.FEATURE_SETS for family in s.families
     ]
-    return f"members(feature_set, family) AS (VALUES {', '.join(rows)})"
+    return f"set_members(feature_set, family) AS (VALUES {', '.join(rows)})"
 
 
 @query(
     "feature_sets",
-    f"""WITH {roles.TUPLES_SQL}, {_set_members_sql()}
-    SELECT feature_set, count(*) AS n_tuples, count(DISTINCT id) AS n_entities,
+    f"""WITH {_ALL_TUPLES_SQL}, {_set_members_sql()}
+    SELECT cohort, feature_set, count(*) AS n_tuples, count(DISTINCT id) AS n_entities,
            count(DISTINCT feature) AS n_features, round(sum(value), 4) AS total
-    FROM tuples JOIN members USING (family) GROUP BY feature_set""",
+    FROM tuples JOIN set_members USING (family) GROUP BY cohort, feature_set""",
 )
 def feature_sets(spark, sf_dir):
     tuples = all_tuples(spark, sf_dir)
@@ -264,7 +294,7 @@ def feature_sets(spark, sf_dir):
             )
         )
     )
-    summary = tuples.withColumn("feature_set", members).groupBy("feature_set").agg(
+    summary = tuples.withColumn("feature_set", members).groupBy("cohort", "feature_set").agg(
         F.count(F.lit(1)).alias("n_tuples"),
         F.countDistinct("id").alias("n_entities"),
         F.countDistinct("feature").alias("n_features"),
@@ -275,7 +305,7 @@ def feature_sets(spark, sf_dir):
 
 @query(
     "feature_dictionary",
-    f"""WITH {roles.TUPLES_SQL}
+    f"""WITH {_ALL_TUPLES_SQL}
     SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS idx
     FROM (SELECT DISTINCT feature FROM tuples)""",
 )
@@ -494,22 +524,20 @@ def normalized_features(spark, sf_dir):
 
 @query(
     "feature_store",
-    f"""WITH {roles.TUPLES_SQL}, {_set_members_sql()},
-chosen AS (SELECT feature_set, t.* FROM tuples t JOIN members USING (family)),
+    f"""WITH {_ALL_TUPLES_SQL}, {_set_members_sql()},
+chosen AS (SELECT feature_set, t.* FROM tuples t JOIN set_members USING (family)),
 named AS (
-  SELECT feature_set, feature, row_number() OVER (PARTITION BY feature_set ORDER BY feature) - 1 AS idx
-  FROM (SELECT DISTINCT feature_set, feature FROM chosen)),
-sizes AS (SELECT feature_set, count(*) AS n FROM named GROUP BY feature_set)
-SELECT 'in_stay_24h' AS cohort, c.feature_set, c.id, CAST(s.n AS INT) AS n_features,
+  SELECT cohort, feature_set, feature,
+    row_number() OVER (PARTITION BY cohort, feature_set ORDER BY feature) - 1 AS idx
+  FROM (SELECT DISTINCT cohort, feature_set, feature FROM chosen)),
+sizes AS (SELECT cohort, feature_set, count(*) AS n FROM named GROUP BY cohort, feature_set)
+SELECT c.cohort, c.feature_set, c.id, CAST(s.n AS INT) AS n_features,
        CAST(n.idx AS INT) AS idx, round(c.value, 6) AS value
-FROM chosen c JOIN named n USING (feature_set, feature) JOIN sizes s USING (feature_set)""",
+FROM chosen c JOIN named n USING (cohort, feature_set, feature) JOIN sizes s USING (cohort, feature_set)""",
 )
 def feature_store(spark, sf_dir):
-    tuples = materialise(
-        all_tuples(spark, sf_dir).withColumn("cohort", F.lit("in_stay_24h")), "tuples"
-    )
-    dictionaries = mx.set_dictionaries(tuples, config.FEATURE_SETS)
-    rows = mx.set_rows(tuples, dictionaries, config.FEATURE_SETS)
+    """Every cohort and feature set, notes included, as the stored rows hold them."""
+    rows, _ = study.feature_rows(roles.inputs(spark, sf_dir), store_config(spark))
     path = new_path(spark, "store")
     sinks.write_feature_store(rows, path)
     stored = spark.read.schema(rows.schema).parquet(path)

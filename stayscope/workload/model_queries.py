@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stayscope.operators import gradient, matrix, metrics, models, scaling, split
+from stayscope.operators import gradient, matrix, metrics, models, scaling, split, topics
 from stayscope.plans import study
 from stayscope.sources import sinks
 from stayscope.storage import materialise, new_path
-from stayscope.workload import roles, text_queries
+from stayscope.workload import roles
 from stayscope.workload.cohort_queries import cohort
-from stayscope.workload.feature_queries import _DYNAMIC_SQL, dynamic_matrix, dynamic_tuples, stored_tuples
+from stayscope.workload.feature_queries import (
+    _DYNAMIC_SQL,
+    dynamic_matrix,
+    dynamic_tuples,
+    store_config,
+    stored_tuples,
+)
 from stayscope.workload.registry import query
 
 
@@ -187,16 +193,8 @@ def model_run(spark, sf_dir):
 
 
 def _config(spark, **changes):
-    settings = dict(
-        feature_dir=new_path(spark, "features"),
-        output_dir=new_path(spark, "output"),
-        outcomes=roles.OUTCOMES,
-        score_names=roles.SCORE_NAMES,
-        flag_names=roles.FLAG_NAMES,
-        stop_words=tuple(text_queries.STOP_WORDS),
-        parallelism=8,
-    )
-    return study.StudyConfig(**{**settings, **changes})
+    full = {"topics": topics.TOPICS, "topic_iterations": topics.ROUNDS, "parallelism": 8}
+    return store_config(spark, **{**full, **changes})
 
 
 @query("model_grid")

@@ -276,22 +276,3 @@ def unpivot_sql(source: str, names: dict[str, str], key: str = "id") -> str:
         f"SELECT {key}, '{name}' AS feature, CAST({column} AS DOUBLE) AS value FROM {source}"
         for column, name in names.items()
     )
-
-
-STATIC_TUPLES_SQL = f"""
-base_tuples AS (
-  SELECT id, 'patient_age' AS feature, age AS value FROM cohort
-  UNION ALL SELECT id, 'patient_sex' AS feature, CAST(is_male AS DOUBLE) AS value FROM cohort),
-score_tuples AS (
-  {unpivot_sql("latest_scores", SCORE_NAMES)}),
-flag_tuples AS (
-  {unpivot_sql("latest_flags", FLAG_NAMES)})"""
-
-TUPLES_SQL = f"""{COHORT_SQL},{CODES_SQL},{EVENT_TUPLES_SQL},{SCORES_SQL},{FLAGS_SQL},{STATIC_TUPLES_SQL},
-tuples AS (
-  SELECT 'base' AS family, * FROM base_tuples
-  UNION ALL SELECT 'scores', t.* FROM score_tuples t WHERE id IN (SELECT id FROM cohort)
-  UNION ALL SELECT 'flags', t.* FROM flag_tuples t WHERE id IN (SELECT id FROM cohort)
-  UNION ALL SELECT 'diag', * FROM diag_tuples
-  UNION ALL SELECT 'med', * FROM med_tuples
-  UNION ALL SELECT 'lab', * FROM lab_tuples)"""

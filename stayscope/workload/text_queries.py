@@ -206,42 +206,63 @@ def topic_terms(spark, sf_dir):
 _FEW_TOPICS, _FEW_ROUNDS = 4, 3
 
 
-def _topics_sql() -> str:
-    """Rounds of expectation maximisation as one common table expression after another."""
-    k = _FEW_TOPICS
-    parts = [
-        f"""{_WORDS_SQL},
-        size AS (SELECT count(DISTINCT term) AS n_terms FROM counts),
-        g0 AS MATERIALIZED (SELECT id, term, topic, n, n * w / sum(w) OVER (PARTITION BY id, term) AS g FROM (
-          SELECT id, term, topic, n, CAST(('0x' || substr(md5('{topics.SEED}:' || CAST(id AS VARCHAR) || ':' || term
-            || ':' || CAST(topic AS VARCHAR)), 1, 8)) AS BIGINT) % {topics.STEPS} + 1 AS w
-          FROM (SELECT *, unnest(range({k})) AS topic FROM counts)))"""
-    ]
-    for r in range(_FEW_ROUNDS + 1):
+def topics_sql(k: int, rounds: int) -> str:
+    """Rounds of expectation maximisation over ``edges(corpus, id, term, n)``, one table expression after another.
+
+    ``d<rounds>`` and ``t<rounds>`` hold the final weights of documents and terms.
+    """
+    first = f"""
+        size AS MATERIALIZED (SELECT corpus, count(DISTINCT term) AS n_terms FROM edges GROUP BY corpus),
+        g0 AS MATERIALIZED (
+          SELECT corpus, id, term, topic, n, n * w / sum(w) OVER (PARTITION BY corpus, id, term) AS g FROM (
+          SELECT corpus, id, term, topic, n, CAST(('0x' || substr(md5('{topics.SEED}:' || CAST(id AS VARCHAR) || ':'
+            || term || ':' || CAST(topic AS VARCHAR)), 1, 8)) AS BIGINT) % {topics.STEPS} + 1 AS w
+          FROM (SELECT *, unnest(range({k})) AS topic FROM edges)))"""
+    parts = [first]
+    for r in range(rounds + 1):
         parts.append(
-            f"""d{r} AS MATERIALIZED (SELECT id, topic, sum(g) AS w FROM g{r} GROUP BY id, topic),
-            t{r} AS MATERIALIZED (SELECT term, topic, sum(g) AS w FROM g{r} GROUP BY term, topic),
-            s{r} AS MATERIALIZED (SELECT topic, sum(g) AS w, max(n_terms) AS n_terms FROM g{r}, size GROUP BY topic)"""
+            f"""d{r} AS MATERIALIZED (SELECT corpus, id, topic, sum(g) AS w FROM g{r} GROUP BY corpus, id, topic),
+            t{r} AS MATERIALIZED (SELECT corpus, term, topic, sum(g) AS w FROM g{r} GROUP BY corpus, term, topic),
+            s{r} AS MATERIALIZED (SELECT corpus, topic, sum(g) AS w, max(n_terms) AS n_terms
+              FROM g{r} JOIN size USING (corpus) GROUP BY corpus, topic)"""
         )
-        if r < _FEW_ROUNDS:
+        if r < rounds:
             parts.append(
                 f"""g{r + 1} AS MATERIALIZED (
-                SELECT id, term, topic, n, n * w / sum(w) OVER (PARTITION BY id, term) AS g FROM (
-                  SELECT g.id, g.term, g.topic, g.n, (d.w + {topics.DOCUMENT_PRIOR / k}) * (t.w + {topics.TERM_PRIOR})
+                SELECT corpus, id, term, topic, n, n * w / sum(w) OVER (PARTITION BY corpus, id, term) AS g FROM (
+                  SELECT g.corpus, g.id, g.term, g.topic, g.n,
+                    (d.w + {topics.DOCUMENT_PRIOR / k}) * (t.w + {topics.TERM_PRIOR})
                     / (s.w + s.n_terms * {topics.TERM_PRIOR}) AS w
-                  FROM g{r} g JOIN d{r} d ON g.id = d.id AND g.topic = d.topic
-                  JOIN t{r} t ON g.term = t.term AND g.topic = t.topic JOIN s{r} s ON g.topic = s.topic))"""
+                  FROM g{r} g JOIN d{r} d ON g.corpus = d.corpus AND g.id = d.id AND g.topic = d.topic
+                  JOIN t{r} t ON g.corpus = t.corpus AND g.term = t.term AND g.topic = t.topic
+                  JOIN s{r} s ON g.corpus = s.corpus AND g.topic = s.topic))"""
             )
     return ",\n".join(parts)
 
 
+_TOPICS_SQL = f"""{_WORDS_SQL},
+edges AS (SELECT '' AS corpus, * FROM counts),{topics_sql(_FEW_TOPICS, _FEW_ROUNDS)}"""
+
+
+def note_words_sql(stop_words) -> str:
+    """``note_words(id, ts, term)``: the tokens of all notes and when they were written."""
+    text = _clean_sql("' ' || text || ' '")
+    return f"""
+note_words AS (
+  SELECT * FROM (
+    SELECT conv_id AS id, TIMESTAMP '2024-01-01 00:00:00' + turn * INTERVAL 1 HOUR AS ts,
+      unnest(regexp_split_to_array(lower({text}), '\\s+')) AS term
+    FROM conversations)
+  WHERE length(term) >= 1 AND term NOT IN ({_sql_list(sorted({w.lower() for w in stop_words}))}))"""
+
+
 def _few_topics(spark, sf_dir):
     return topics.fit_topics(counts(spark, sf_dir), _FEW_TOPICS, _FEW_ROUNDS)
 
 
 @query(
     "topic_shares",
-    f"""WITH {_topics_sql()}
+    f"""WITH {_TOPICS_SQL}
     SELECT CAST(id AS VARCHAR) AS id, 'topic-' || CAST(topic AS VARCHAR) AS feature,
       round(w / sum(w) OVER (PARTITION BY id), 6) AS value FROM d{_FEW_ROUNDS}""",
 )
@@ -253,7 +274,7 @@ def topic_shares(spark, sf_dir):
 
 @query(
     "topic_term_weights",
-    f"""WITH {_topics_sql()}
+    f"""WITH {_TOPICS_SQL}
     SELECT term, CAST(topic AS INT) AS topic, round(w, 5) AS weight FROM t{_FEW_ROUNDS}""",
 )
 def topic_term_weights(spark, sf_dir):

@@ -185,3 +185,23 @@ def test_families_can_be_switched_off(spark, csv_dir, cfg):
     inputs = clinical.load_all(spark, csv_dir, False, False, False, False)
     tuples, _ = study.study_tuples(inputs, bare)
     assert {r[0] for r in tuples.select("family").distinct().collect()} == {"base"}
+
+
+def test_note_topics_of_all_cohorts(spark, csv_dir, cfg):
+    """One model per cutoff, fitted together: shares add up to 1 and ids keep their type."""
+    inputs = study.store_inputs(clinical.load_all(spark, csv_dir))
+    tuples, grid = study.study_tuples(inputs, cfg)
+    notes = tuples.filter("family = 'notes'")
+    assert notes.schema["id"].dataType == grid.schema["id"].dataType
+    found = notes.groupBy("cohort", "id").agg(F.sum("value").alias("s"), F.count("*").alias("n")).collect()
+    assert {r["cohort"] for r in found} == {c.name for c in cfg.cohorts}
+    assert all(r["s"] == pytest.approx(1.0) and r["n"] == cfg.topics for r in found)
+
+
+def test_vocabulary_is_limited_per_cutoff(spark, cfg):
+    rows = [("a", "1", "x", 5), ("a", "2", "x", 1), ("a", "1", "y", 2), ("b", "1", "y", 9), ("b", "2", "y", 1)]
+    counts = spark.createDataFrame(rows + [("b", "1", "x", 1)], "corpus string, id string, term string, n bigint")
+    one = study._in_vocabulary(counts, ["a", "b"], dataclasses.replace(cfg, vocabulary_size=1))
+    assert sorted(map(tuple, one.collect())) == sorted(r for r in rows if (r[0], r[2]) in {("a", "x"), ("b", "y")})
+    common = study._in_vocabulary(counts, ["a", "b"], dataclasses.replace(cfg, vocabulary_min_documents=2))
+    assert sorted(map(tuple, common.collect())) == sorted(map(tuple, one.collect()))
