@@ -22,7 +22,8 @@ and taking one backslash away restores the original; ``%`` and line ends of role
 Edge cases: null text or role is empty; null ``conv_id`` is a conversation of its own; events of
 equal ``seq`` are ordered by kind (message first), target, role and text; repeated rows are
 events each. Events before any message, or with an unknown target or kind, act on nothing. A
-conversation without messages has no row. Further columns are ignored.
+conversation without messages has no row. Texts of any length are folded and rendered whole. Further
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -49,6 +50,65 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
     )
 
 
+#: Pieces that a streamed text arrives in, and the seq numbers that one message's events may take.
+PIECES, STEPS = 3, 9
+
+
+def streamed_events(turns: DataFrame) -> DataFrame:
+    """The log of a chat service from which (conv_id, turn, role, text) came, derived row by row.
+
+    A trained role's text opens empty and arrives in ``PIECES`` deltas. Half of those (by a hash of
+    conversation and turn) are a wrong draft first, whose message is regenerated and streamed anew. Every
+    other text opens as a draft that an edit corrects; half of these target the message by its number.
+    After a conversation's last turn an answer and a question follow that a regeneration of that turn
+    discards, before its text comes again. Folding the log gives ``turns`` back, in the order of turn, role
+    and text. Null and empty texts stream empty deltas; a long text is cut into ``PIECES`` like any other;
+    further columns are ignored.
+    """
+    place = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    named = turns.select("conv_id", "turn", text_or_empty("role").alias("role"), text_or_empty().alias("text"))
+    placed = named.withColumns(
+        {"at": F.row_number().over(place) - 1, "ends": F.lead(F.lit(1)).over(place).isNull()}
+    ).withColumns(
+        {
+            "chance": F.pmod(F.xxhash64("conv_id", "turn"), F.lit(2)) == 0,
+            "size": F.ceil(F.char_length("text") / F.lit(PIECES)).cast("int"),
+            "trained": F.col("role").isin(*TRAINED_ROLES),
+        }
+    )
+
+    def event(step: int, kind: str, text: Column, role: Column | None = None, target: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(step).alias("step"),
+            F.lit(kind).alias("kind"),
+            (F.lit(None) if target is None else target).cast("int").alias("target"),
+            (F.lit(None) if role is None else role).cast("string").alias("role"),
+            text.alias("text"),
+        )
+
+    empty, draft = F.lit(""), F.concat(F.lit("draft: "), F.reverse("text"))
+    role, own = F.col("role"), F.col("at")
+    piece = [F.substring(F.col("text"), F.lit(k) * F.col("size") + 1, F.col("size")) for k in range(PIECES)]
+    streamed = [event(2 + k, "delta", piece[k]) for k in range(PIECES)]
+    answer = F.when(
+        F.col("chance"), F.array(event(0, "message", draft, role), event(1, "regenerate", empty), *streamed)
+    ).otherwise(F.array(event(0, "message", empty, role), *streamed))
+    edited = F.when(F.col("chance"), event(1, "edit", F.col("text"), target=own)).otherwise(
+        event(1, "edit", F.col("text"))
+    )
+    said = F.when(F.col("trained"), answer).otherwise(F.array(event(0, "message", draft, role), edited))
+    branch = F.array(
+        event(5, "message", draft, F.lit(TRAINED_ROLES[0])),
+        event(6, "message", F.col("text"), F.lit("user")),
+        event(7, "regenerate", empty, target=own),
+        event(8, "delta", F.col("text"), target=own),
+    )
+    events = F.when(F.col("ends"), F.concat(said, branch)).otherwise(said)
+    return placed.select("conv_id", "at", F.inline(events)).select(
+        "conv_id", (F.col("at") * STEPS + F.col("step")).alias("seq"), "kind", "target", "role", "text"
+    )
+
+
 def fold(events: DataFrame) -> DataFrame:
     """The final messages, ``conv_id, message, role, text``, of an event log."""
     log = events.select(

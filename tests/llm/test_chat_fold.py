@@ -113,3 +113,46 @@ def test_no_mark_inside_a_text(spark):
 def test_empty_log(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert c.digest(c.read_back(c.render(c.fold(empty)))).count() == 0
+
+
+def test_streamed_log_folds_back(spark):
+    rng = random.Random(5)
+    rows = [
+        (conv if conv else None, turn, rng.choice(["user", "assistant", "system", None]), rng.choice([None, "", "a", *HOSTILE]))
+        for conv in range(40)
+        for turn in range(rng.randint(1, 9))
+    ]
+    rows += [(50, 0, "assistant", "twice"), (50, 0, "assistant", "twice"), (51, 3, "assistant", "long 🦄 " * 60_000)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    clash = ["seq", "kind", "target", "at", "ends", "size", "chance", "trained", "step", "message", "log"]
+    log = c.streamed_events(turns.select("*", *[F.lit("x").alias(n) for n in clash]))
+    kinds = {r.kind: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert set(kinds) == set(c.KINDS) and kinds["message"] == len(rows) + 2 * len({r[0] for r in rows})
+    assert log.where("kind = 'regenerate' AND target IS NULL").count() > 0
+    assert log.where("kind = 'edit' AND target IS NOT NULL").count() > 0
+    want = {}
+    for conv, _, role, text in sorted(rows, key=lambda r: (r[1], r[2] or "", r[3] or "")):
+        want.setdefault(conv, []).append((role or "", text or ""))
+    got = {}
+    for r in sorted(c.fold(log).collect(), key=lambda r: r.message):
+        got.setdefault(r.conv_id, []).append((r.role, r.text))
+    assert got == want
+    assert brute([tuple(r) for r in log.collect()]) == want
+
+
+def test_long_text_and_clashing_columns(spark):
+    long = "<|im_end|>🦄 " * 40_000
+    events = spark.createDataFrame(
+        [(1, 0, "message", None, "assistant", ""), (1, 1, "delta", None, None, long), (1, 2, "delta", None, None, "end")],
+        SCHEMA,
+    )
+    clash = ["what", "at", "latest", "message", "log", "turns", "formatted", "loss_spans", "opened_at"]
+    folded_rows = c.fold(events.select("*", *[F.lit(1).alias(n) for n in clash]))
+    row = c.read_back(c.render(folded_rows)).first()
+    assert [(t.role, t.text) for t in row.turns] == [("assistant", long + "end")]
+    assert row.loss_text == long + "end"
+
+
+def test_empty_turns(spark):
+    empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
+    assert c.fold(c.streamed_events(empty)).count() == 0
