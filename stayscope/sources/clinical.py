@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from stayscope import schemas
 from stayscope.functions import dates, values
 from stayscope.sources.delimited import read_csv_table, read_multiline_table
+from stayscope.storage import materialise
 
 
 @dataclass
@@ -198,3 +199,19 @@ def row_counts(inputs: Inputs) -> DataFrame:
     for count in counts[1:]:
         merged = merged.unionByName(count)
     return merged
+
+
+def store_counted(inputs: Inputs) -> tuple[Inputs, DataFrame]:
+    """Every table written once as Parquet, and ``(table_name, n_rows)`` as the writing tasks counted them.
+
+    The counts are observed on the way, so no job reads a table again to count it. A table without rows
+    counts 0.
+    """
+    stored, counts = {}, []
+    for name, table in inputs.tables().items():
+        seen = Observation()
+        stored[name] = materialise(table.observe(seen, F.count(F.lit(1)).alias("n_rows")), name)
+        counts.append((name, seen.get.get("n_rows", 0)))
+    spark = inputs.entities.sparkSession
+    # One row per table of the study.
+    return Inputs(**stored), spark.createDataFrame(counts, "table_name string, n_rows bigint")

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from stayscope.operators import gradient, matrix, metrics, models, scaling, split, topics
 from stayscope.plans import study
-from stayscope.sources import sinks
+from stayscope.sources import libsvm, sinks
 from stayscope.storage import materialise, new_path
 from stayscope.workload import roles
 from stayscope.workload.cohort_queries import cohort
 from stayscope.workload.feature_queries import (
     _DYNAMIC_SQL,
+    _HASH_SQL,
     dynamic_matrix,
     dynamic_tuples,
     store_config,
@@ -138,6 +139,36 @@ def planted_indexed_lr(spark, sf_dir):
     return fitted.select("id", "label", "predicted_label")
 
 
+_HELD_OUT_SEX_SQL = f"""WITH {roles.COHORT_SQL}
+    SELECT id, CAST(is_male AS DOUBLE) AS score FROM cohort WHERE NOT ({_HASH_SQL})"""
+
+
+def _held_out(spark, sf_dir, fit, value):
+    """Scores of rows that training did not see."""
+    train, test = scaling.scale_features(*split.split_by_hash(_sex_matrix(spark, sf_dir)))
+    return models.score(fit(train, "scaled"), test, value, keep=("id",))
+
+
+@query("heldout_dt", _HELD_OUT_SEX_SQL)
+def heldout_dt(spark, sf_dir):
+    return _held_out(spark, sf_dir, models.train_dt, models.predicted_class())
+
+
+@query("libsvm_train", _HELD_OUT_SEX_SQL)
+def libsvm_train(spark, sf_dir):
+    """Trained and scored from LIBSVM text alone; the held-out file carries ids in place of labels."""
+    data = _sex_matrix(spark, sf_dir)
+    width = data.select("features").first()[0].size
+    train, test = split.split_by_hash(data)
+    train_path, test_path = new_path(spark, "libsvm"), new_path(spark, "libsvm")
+    sinks.write_libsvm(train, train_path)
+    sinks.write_libsvm(test, test_path, F.col("id"))
+    fitted = models.train_dt(libsvm.read_libsvm(spark, train_path, width))
+    held_out = libsvm.read_libsvm(spark, test_path, width)
+    scored = models.score(fitted, held_out, models.predicted_class(), keep=("label",))
+    return scored.select(F.col("label").cast("bigint").alias("id"), "score")
+
+
 @query(
     "cv_folds",
     f"""WITH {roles.COHORT_SQL},

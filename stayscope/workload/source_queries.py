@@ -331,9 +331,7 @@ def study_csv(spark, sf_dir) -> str:
     return directory
 
 
-@query(
-    "load_all_counts",
-    """SELECT 'entities' AS table_name, count(DISTINCT user_id) AS n_rows FROM events
+_COUNTS_SQL = """SELECT 'entities' AS table_name, count(DISTINCT user_id) AS n_rows FROM events
     UNION ALL SELECT 'episodes', count(*) FROM events WHERE event_type = 'signup'
     UNION ALL SELECT 'scores', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     UNION ALL SELECT 'flags', count(*) FROM orders
@@ -341,13 +339,21 @@ def study_csv(spark, sf_dir) -> str:
     UNION ALL SELECT 'diagnoses', count(*) FROM events WHERE event_type = 'click'
     UNION ALL SELECT 'medications', count(*) FROM events WHERE event_type = 'view'
     UNION ALL SELECT 'notes', count(*) FROM documents WHERE doc_id % 4 <> 3
-    UNION ALL SELECT 'holdout_ids', count(DISTINCT user_id) FROM events WHERE user_id % 5 = 0""",
-)
+    UNION ALL SELECT 'holdout_ids', count(DISTINCT user_id) FROM events WHERE user_id % 5 = 0"""
+
+
+@query("load_all_counts", _COUNTS_SQL)
 def load_all_counts(spark, sf_dir):
     loaded = clinical.load_all(spark, study_csv(spark, sf_dir), holdout=True)
     return clinical.row_counts(loaded)
 
 
+@query("stored_counts", _COUNTS_SQL)
+def stored_counts(spark, sf_dir):
+    """The same counts, observed while the tables are stored."""
+    return clinical.store_counted(clinical.load_all(spark, study_csv(spark, sf_dir), holdout=True))[1]
+
+
 _TEXT_EVENTS_SQL = """SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type,
       CASE WHEN event_id % 3 = 0 THEN NULL ELSE props END AS props FROM events"""

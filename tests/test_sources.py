@@ -224,3 +224,11 @@ def test_libsvm_round_trip_keeps_width(spark, tmp_path):
     assert len(back) == 1 and back[0]["features"].size == 9
     entries = libsvm.read_libsvm_entries(spark, str(tmp_path / "m")).collect()
     assert [tuple(r) for r in entries] == [(1.0, 0, 1.0), (1.0, 4, 0.0)]
+
+
+def test_counts_observed_while_storing(spark):
+    some = spark.range(7).withColumnRenamed("id", "n_rows").repartition(3)
+    none = spark.createDataFrame([], "id string")
+    stored, counts = clinical.store_counted(clinical.Inputs(some, none, notes=some.where("n_rows > 4")))
+    assert {tuple(r) for r in counts.collect()} == {("entities", 7), ("episodes", 0), ("notes", 2)}
+    assert stored.entities.count() == 7 and stored.episodes.count() == 0 and stored.scores is None
