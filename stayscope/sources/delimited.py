@@ -305,11 +305,14 @@ def parse_records(records: DataFrame, columns: list[str], header: bool = True) -
 
     With ``header``, the first record of each file (``record_no`` 1) is left out, whatever its
     spelling; a data row that equals it stays. Records with another number of fields than ``columns``, and
-    those that begin with a stray quote, are left to :func:`rejected_records`.
+    those that begin with a stray quote, are left to :func:`rejected_records`. Records of single lines
+    (:func:`clean_quoted_lines`) have no column ``stray``: none of them is.
     """
     ddl = ", ".join(f"`{c}` STRING" for c in columns)
     row = F.from_csv(F.col("record"), ddl, {"mode": "PERMISSIVE"})
-    good = (_fields(F.col("record")) == len(columns)) & ~F.col("stray")
+    good = _fields(F.col("record")) == len(columns)
+    if "stray" in records.columns:
+        good &= ~F.col("stray")
     if header:
         good &= F.col("record_no") > 1
     return records.filter(good).select(row.alias("row")).select("row.*")

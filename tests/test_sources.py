@@ -188,6 +188,13 @@ def test_quoted_commas(spark):
     assert delimited.clean_quoted_lines(lines).collect()[0]["value"] == '1,"a; b  c ",d'
 
 
+def test_cleaned_lines_are_parsed(spark):
+    lines = spark.createDataFrame([('1,"a, b ""c""",d',), ("2,x",)], "record string")
+    cleaned = delimited.clean_quoted_lines(lines, "record")
+    rows = delimited.parse_records(cleaned, ["id", "text", "last"], header=False).collect()
+    assert [tuple(r) for r in rows] == [("1", "a; b  c ", "d")]
+
+
 def test_table_names(spark):
     paths = ["/d/PATIENTS.csv", "events", "/d/x.csv.gz", "/d/odd-", "s3://b/lab_2.csv"]
     df = spark.createDataFrame([(p,) for p in paths], "path string")
