@@ -260,6 +260,17 @@ def join_quoted_lines(
 
     A file with an odd number of quotes is an error that names it; ``odd_quotes="reject"`` treats it like others.
     """
+    return _joined(*_placed_lines(lines, fields, odd_quotes, max_lines, max_chars))
+
+
+def _placed_lines(
+    lines: DataFrame,
+    fields: int | None,
+    odd_quotes: str = "error",
+    max_lines: int = MAX_RECORD_LINES,
+    max_chars: int = MAX_RECORD_CHARS,
+) -> tuple[DataFrame, DataFrame]:
+    """The cleaned lines, and the record of each."""
     if odd_quotes not in ("error", "reject"):
         raise ValueError(f"unknown treatment of odd quotes: {odd_quotes}")
     cleaned = lines.withColumn("line", values.single_spaced(F.col("line"))).filter(F.col("line").rlike(r"\S"))
@@ -269,7 +280,12 @@ def join_quoted_lines(
         unbalanced = splits.groupBy("file").agg((F.sum("odd") % 2).alias("odd")).where("odd = 1").first()
         if unbalanced is not None:
             raise ValueError(f"odd number of quotes in {unbalanced['file']}")
-    placed = base.select(*_PLACE, "line").join(numbered, _PLACE)
+    return base.select(*_PLACE, "line"), numbered
+
+
+def _joined(lines: DataFrame, numbered: DataFrame) -> DataFrame:
+    """One row per record of ``numbered``, its lines in one."""
+    placed = lines.join(numbered, _PLACE)
     joined = placed.groupBy("file", "record_no").agg(
         F.array_sort(F.collect_list(F.struct("split", "row", "line"))).alias("parts"),
         F.bool_or("stray").alias("stray"),
@@ -339,9 +355,12 @@ def read_multiline_table(
     the view ``rejects`` (``<view>_rejects`` by default). Files with different headers are an error.
     """
     columns = spark.read.option("header", True).csv(path).columns
-    records = join_quoted_lines(read_lines(spark, path), len(columns), odd_quotes, **limits)
+    lines, numbered = _placed_lines(read_lines(spark, path), len(columns), odd_quotes, **limits)
+    records = _joined(lines, numbered)
+    # The few lines of each file's first record go to all tasks, so no other line is shuffled for them.
+    first = _joined(lines, F.broadcast(numbered.where("record_no = 1")))
     head = F.lower(F.translate("record", '" \r', "")).alias("head")
-    if len(heads := records.filter("record_no = 1").select(head).distinct().limit(2).collect()) > 1:
+    if len(heads := first.select(head).distinct().limit(2).collect()) > 1:
         raise ValueError(f"files of {path} have different headers: {[r['head'] for r in heads]}")
     name = view or _inferred_name(path)
     table = parse_records(records, columns)
