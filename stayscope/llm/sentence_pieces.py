@@ -7,7 +7,8 @@ join the agenda. Characters outside the vocabulary become byte pieces.
 No piece of such a vocabulary usually has a space symbol after another character; then no merge
 crosses into the next run of spaces and a text falls apart into segments, a run of space symbols
 and what follows it, that are encoded once per worker process and remembered. (If a vocabulary has such a
-piece, the whole text is one segment.) Every new segment of an Arrow batch is also encoded and
+piece, the whole text is one segment.) The new short segments of a batch are merged side by side: each has
+a row of its pairs' ranks as its agenda, and every round merges the best pair of every row. Every new segment of an Arrow batch is also encoded and
 decoded by the sentencepiece library, a hundred in a text and all texts in one call, before the
 batch is passed on; a difference stops the job. ``check="texts"`` compares all whole texts instead.
 
@@ -28,7 +29,8 @@ import heapq
 import re
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -47,6 +49,10 @@ CHECKED_TOGETHER = 100
 PLACE_BITS = 40
 PLACE = (1 << PLACE_BITS) - 1
 RANK = ~PLACE
+#: Characters, with the space symbol, up to which segments are merged side by side, by width of the rows.
+WIDTHS = (3, 5, 7, 9, 11, 13, 16, 20, 26, 34)
+ROWS_TOGETHER = 1 << 15
+NO_RANK = np.iinfo(np.int32).max
 SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
@@ -55,6 +61,44 @@ def each_byte(error):
     return "�" * (error.end - error.start), error.end
 
 
+class PairTable:
+    """Rank and number of the merger of two symbols, looked up for many pairs at once."""
+
+    def __init__(self, pairs: dict[int, int]):
+        keys = np.fromiter(pairs.keys(), np.int64, len(pairs))
+        packed = np.fromiter(pairs.values(), np.int64, len(pairs))
+        self.bits = max(4, int(len(pairs) * 6).bit_length())
+        # One slot more than there are, so that a pair's slot and the next ones need no wrapping.
+        size = (1 << self.bits) + len(pairs) + 1
+        self.keys = np.full(size, -1, dtype=np.int64)
+        self.rank = np.full(size, NO_RANK, dtype=np.int32)
+        self.own = np.zeros(size, dtype=np.int32)
+        slots, left = self.slots(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[slots[left]] < 0]
+            taken, first = np.unique(slots[free], return_index=True)
+            self.keys[taken] = keys[free[first]]
+            left = left[self.keys[slots[left]] != keys[left]]
+            slots[left] += 1
+        self.rank[slots], self.own[slots] = packed >> PLACE_BITS, packed & PLACE
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks (``NO_RANK``: such symbols do not merge) and numbers."""
+        slots = self.slots(keys)
+        held = self.keys[slots]
+        on = np.flatnonzero((held != keys) & (held >= 0))
+        while len(on):
+            slots[on] += 1
+            held = self.keys[slots[on]]
+            on = on[(held != keys[on]) & (held >= 0)]
+        found = self.keys[slots] == keys
+        return np.where(found, self.rank[slots], NO_RANK), self.own[slots]
+
+
 class Vocabulary:
     """Pieces, merge ranks and byte pieces of a model."""
 
@@ -99,6 +143,13 @@ class Vocabulary:
                 left, right = self.number.get(piece[:cut]), self.number.get(piece[cut:])
                 if left and right:
                     self.pairs[left * self.base + right] = packed
+        self.table = PairTable(self.pairs)
+        self.number_of_code = np.zeros(sys.maxunicode + 1, dtype=np.int32)
+        for symbol, k in self.number.items():
+            if len(symbol) == 1:
+                self.number_of_code[ord(symbol)] = k
+        self.ids_of = np.array(self.id_of, dtype=np.int32)
+        self.id_of_ascii = np.array([*self.byte_ids[:128], -1], dtype=np.int32)
         self.prefixed = {i for p, i in self.ids.items() if p.startswith(SPACE)}
         self.last_control = max(self.controls, default=-1)
         self.end_id = sp.eos_id()
@@ -151,6 +202,78 @@ class Vocabulary:
                     heapq.heappush(agenda, pair & RANK | preceding)
         return symbols
 
+    def merged_rows(self, symbols: np.ndarray) -> np.ndarray:
+        """:meth:`merged` for rows of symbols that end in at least one 0, all rows side by side."""
+        n, width = symbols.shape
+        done = np.empty_like(symbols)
+        owner, base = np.arange(n), self.base
+        # The first column is an empty symbol, like the ones at the end: neither merges.
+        symbols = np.pad(symbols, ((0, 0), (1, 0))).astype(np.int64)
+        rank = np.full(symbols.shape, NO_RANK, dtype=np.int32)
+        own = np.zeros(symbols.shape, dtype=np.int32)
+        ranks, owns = self.table.find((symbols[:, 1:-1] * base + symbols[:, 2:]).ravel())
+        rank[:, 1:-1], own[:, 1:-1] = ranks.reshape(n, -1), owns.reshape(n, -1)
+        before = np.tile(np.arange(-1, width, dtype=np.int16), (n, 1))
+        after = np.tile(np.arange(1, width + 2, dtype=np.int16), (n, 1))
+        while True:
+            left = rank.argmin(axis=1)  # the leftmost of the best
+            row = np.flatnonzero(rank[np.arange(len(rank)), left] != NO_RANK)
+            if 4 * len(row) < 3 * len(rank):
+                ended = np.ones(len(rank), dtype=bool)
+                ended[row] = False
+                done[owner[ended]] = symbols[ended, 1:]
+                if not len(row):
+                    return done
+                owner, symbols, rank, own, before, after = (x[row] for x in (owner, symbols, rank, own, before, after))
+                left, row = left[row], np.arange(len(row))
+            else:
+                left = left[row]
+            right = after[row, left]
+            following, preceding = after[row, right], before[row, left]
+            merger = own[row, left].astype(np.int64)
+            symbols[row, left] = merger
+            symbols[row, right] = -1
+            rank[row, right] = NO_RANK
+            after[row, left] = following
+            before[row, following] = left
+            pairs = [merger * base + symbols[row, following], symbols[row, preceding] * base + merger]
+            ranks, owns = self.table.find(np.concatenate(pairs))
+            k = len(row)
+            rank[row, left], own[row, left] = ranks[:k], owns[:k]
+            rank[row, preceding], own[row, preceding] = ranks[k:], owns[k:]
+
+    def encoded_many(self, segments: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Segments, as :meth:`encoded` takes them, each with its ids as packed 32-bit integers."""
+        sizes = np.fromiter(map(len, segments), np.int64, len(segments)) + 1
+        bins = np.searchsorted(WIDTHS, sizes)
+        for bin_, width in enumerate(WIDTHS):
+            members = np.flatnonzero(bins == bin_)
+            for at in range(0, len(members), ROWS_TOGETHER):
+                part = members[at : at + ROWS_TOGETHER]
+                texts = [segments[i] for i in part.tolist()]
+                shown = (SPACE + SPACE.join(texts)).encode("utf-32-le", "surrogatepass")
+                inside = np.arange(width + 1) < sizes[part, None]
+                codes = np.frombuffer(shown, dtype="<u4")
+                symbols = np.zeros(inside.shape, dtype=np.int32)
+                symbols[inside] = self.number_of_code[codes]
+                symbols = self.merged_rows(symbols)
+                stands = inside & (symbols >= 0)
+                ids = self.ids_of[symbols]
+                # A symbol without an id is a character; one of several bytes takes more places.
+                single = np.full(inside.shape, -1, dtype=np.int32)
+                single[inside] = self.id_of_ascii[np.minimum(codes, 128)]
+                ids = np.where(ids < 0, single, ids)
+                whole = ~(stands & (ids < 0)).any(axis=1)
+                ends = (4 * np.cumsum(stands.sum(axis=1))).tolist()
+                packed = ids[stands].astype("<i4").tobytes()
+                for text, ours, first, last in zip(texts, whole.tolist(), [0, *ends], ends, strict=False):
+                    yield text, packed[first:last] if ours else self.packed(text)
+        for i in np.flatnonzero(bins == len(WIDTHS)).tolist():
+            yield segments[i], self.packed(segments[i])
+
+    def packed(self, segment: str) -> bytes:
+        return np.array(self.encoded(segment), dtype="<i4").tobytes()
+
     def encoded(self, segment: str) -> list[int]:
         """Ids of a segment that is given without its first space symbol."""
         out: list[int] = []
@@ -187,9 +310,15 @@ class Segments(dict):
 
     def __missing__(self, segment: str) -> bytes:
         self.fresh.append(segment)
-        packed = self[segment] = np.array(self.vocabulary.encoded(segment), dtype="<i4").tobytes()
+        packed = self[segment] = self.vocabulary.packed(segment)
         return packed
 
+    def learn(self, segments: Iterable[str]) -> None:
+        """Encode those met first, side by side."""
+        new = list(dict.fromkeys(filterfalse(self.__contains__, segments)))
+        self.fresh += new
+        self.update(self.vocabulary.encoded_many(new))
+
     def check(self) -> None:
         """Compare the fresh segments with the library, and make room."""
         # Segments in a row are a text, whose pieces are theirs; one of spaces alone would run into
@@ -244,7 +373,9 @@ def _encoder(known: Segments, check: str):
     end = np.array([vocabulary.end_id], dtype="<i4").tobytes()
 
     def kernel(texts: list[str]) -> list[bytes]:
-        packed = [b"".join(map(known.__getitem__, vocabulary.segments(text))) + end for text in texts]
+        parts = [vocabulary.segments(text) for text in texts]
+        known.learn(chain.from_iterable(parts))
+        packed = [b"".join(map(known.__getitem__, part)) + end for part in parts]
         known.check()
         if check == "texts":
             compare(vocabulary, texts, [np.frombuffer(p, dtype="<i4").tolist() for p in packed], whole=True)

@@ -84,3 +84,27 @@ def test_memory_is_bounded(monkeypatch):
         assert b"".join(map(known.__getitem__, V.segments(text)))
         known.check()
         assert len(known) <= 3
+
+
+WORD = st.text(max_size=40) | st.lists(st.sampled_from([*PARTS, "\ud800", "er", "in", "aaa"]), max_size=12).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(WORD, max_size=30, unique=True))
+def test_side_by_side_equals_one_by_one(words):
+    assert dict(V.encoded_many(words)) == {w: V.packed(w) for w in words}
+
+
+def test_equal_ranks_merge_leftmost_first():
+    for n in range(1, 34):
+        word = "a" * n
+        assert dict(V.encoded_many([word, "b" + word])) == {w: V.packed(w) for w in (word, "b" + word)}
+
+
+def test_new_words_of_a_batch_are_merged_together(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("etaoinshrdlu\n", k=rng.randint(1, 20))) for _ in range(500)]
+    calls = []
+    monkeypatch.setattr(V, "merged", lambda characters: calls.append(characters) or pytest.fail("one by one"))
+    [packed] = s._encoder(s.Segments(V), "segments")([" ".join(["x", *words, "x"])])
+    assert not calls and len(packed) > 4 * len(words)
