@@ -9,10 +9,12 @@ word shapes of tokens and their neighbours. It is trained on the driver from a s
 table: the hand-labelled lines below, and at most ``SILVER_LINES`` lines of the corpus that hold a
 digit or ``@``, labelled by the base expressions. That bound is a parameter; which lines are taken
 depends on hashes of the lines alone. The model, a few hundred kilobytes, goes to the tasks; there
-every token of every line is decoded by Viterbi in numpy batches.
+every token of every line is decoded in numpy batches: a bound on what any path can gain by leaving
+the tag ``O`` there proves most tokens to be outside of spans, and Viterbi, between these, decides
+the others. The best path is that of Viterbi over whole lines.
 
-Lines are decoded whole. The features of a token are looked up in tables of shapes and words, and a
-line of any length keeps its weights in blocks and one back pointer per token and tag. Spans that
+The features of a token are looked up in tables of shapes and words, and a
+line of any length keeps its weights in blocks and one back pointer per undecided token and tag. Spans that
 overlap base spans are left out, the base spans stay.
 
 Edge cases: a null text is empty and has no personal data; a very long line is never cut; rows
@@ -324,6 +326,24 @@ class Tables(dict):
         self.triple = np.array(sorted(triples) or [-1])
         self.triple_number = np.array([triples.get(int(c), none) for c in self.triple])
         self.worded = [np.array([known.get(p + x, none) for x in words]) for p in ("w", "w-", "w+")]
+        self._bound(chain)
+
+    def _bound(self, chain: Chain) -> None:
+        """Tables of what a token can add at most to a path that leaves the first tag, "O", for a while.
+
+        Such a path's gain over staying is a sum over the tokens of the detour. ``leave`` moves what the
+        step back gains into the tokens, so that each term is at most a token's weights plus ``enter``.
+        """
+        pairs, first, n = chain.pairs, chain.first, self.n
+        leave = np.maximum(0.0, pairs[:, 0] - pairs[0, 0])
+        steps = (pairs - pairs[0, 0] + leave - leave[:, None]).max(axis=0)
+        self.enter = np.maximum(steps, first - first[0] + leave)[1:]
+        gains = self.unary[:, 1:] - self.unary[:, :1]
+        here, b1, b2, a1, a2 = self.single
+        x, y = np.divmod(np.arange(n * n), n)
+        most = [gains[b1][x] + gains[here][y] + gains[self.pair[0]] + self.enter, gains[a1][y] + gains[self.pair[1]]]
+        self.most_pair = [m.max(axis=1) for m in most]
+        self.most = gains.max(axis=1)
 
     def __missing__(self, token: str) -> int:
         if len(self) > 200_000:
@@ -345,78 +365,136 @@ class Tables(dict):
         touches[1:] = ends[:-1] == starts[1:]
         return np.where(touches, glued, alone).astype(np.int32), word.astype(np.int32)
 
-    def scores(self, shape: np.ndarray, word: np.ndarray, line: np.ndarray, first: int, last: int) -> np.ndarray:
-        """Weights per tag of the tokens ``first`` to ``last``, from their true neighbours."""
-        low, high = max(0, first - 2), min(len(shape), last + 2)
-        inner = slice(first - low + 2, last - low + 2)
-        here, lines = (np.pad(x[low:high], 2, constant_values=v) for x, v in ((shape, 0), (line, -1)))
-        near = np.pad(word[low:high], 2, constant_values=1)
-
-        def moved(values: np.ndarray, by: int) -> np.ndarray:
-            return values[inner.start + by : inner.stop + by]
-
-        same = {by: moved(lines, by) == moved(lines, 0) for by in (-2, -1, 1, 2)}
+    def around(self, shape: np.ndarray, word: np.ndarray, line: np.ndarray, at: np.ndarray) -> tuple:
+        """The shapes from two before to two after the tokens ``at``, and the words from one before to one after."""
+        near = {}
+        for by in (-2, -1, 1, 2):
+            to = at + by
+            near[by] = np.clip(to, 0, len(shape) - 1)
+            near[by, "same"] = (near[by] == to) & (line[near[by]] == line[at])
         mark = {x: self.shape[x] for x in ("^^", "^", "$", "$$")}
-        h = moved(here, 0)
-        b1 = np.where(same[-1], moved(here, -1), mark["^"])
-        b2 = np.where(same[-2], moved(here, -2), np.where(same[-1], mark["^"], mark["^^"]))
-        a1 = np.where(same[1], moved(here, 1), mark["$"])
-        a2 = np.where(same[2], moved(here, 2), np.where(same[1], mark["$"], mark["$$"]))
+        b1 = np.where(near[-1, "same"], shape[near[-1]], mark["^"])
+        b2 = np.where(near[-2, "same"], shape[near[-2]], np.where(near[-1, "same"], mark["^"], mark["^^"]))
+        a1 = np.where(near[1, "same"], shape[near[1]], mark["$"])
+        a2 = np.where(near[2, "same"], shape[near[2]], np.where(near[1, "same"], mark["$"], mark["$$"]))
+        words = [np.where(near[by, "same"], word[near[by]], 1) for by in (-1, 1)]
+        return (b2, b1, shape[at], a1, a2), (words[0], word[at], words[1])
+
+    def numbers(self, shapes: tuple, words: tuple) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Feature numbers but those of pairs of shapes, and the two pairs."""
+        b2, b1, h, a1, a2 = shapes
         before, after = b1.astype(np.int64) * self.n + h, h.astype(np.int64) * self.n + a1
         codes = before * self.n + a1
         at = np.minimum(np.searchsorted(self.triple, codes), len(self.triple) - 1)
-        numbers = [t[x] for t, x in zip(self.single, (h, b1, b2, a1, a2), strict=True)]
-        numbers += [self.pair[0][before], self.pair[1][after]]
-        numbers.append(np.where(self.triple[at] == codes, self.triple_number[at], self.none))
-        numbers.append(self.worded[0][moved(near, 0)])
-        numbers.append(self.worded[1][np.where(same[-1], moved(near, -1), 1)])
-        numbers.append(self.worded[2][np.where(same[1], moved(near, 1), 1)])
+        triple = np.where(self.triple[at] == codes, self.triple_number[at], self.none)
+        worded = [t[x] for t, x in zip(self.worded, (words[1], words[0], words[2]), strict=True)]
+        return [self.single[2][b2], self.single[4][a2], triple, *worded], before, after
+
+    def weights(self, shape: np.ndarray, word: np.ndarray, line: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Weights per tag of the tokens ``at``, from their true neighbours."""
+        shapes, words = self.around(shape, word, line, at)
+        others, before, after = self.numbers(shapes, words)
+        numbers = [t[x] for t, x in zip(self.single[:2], (shapes[2], shapes[1]), strict=True)]
+        numbers += [others[0], self.single[3][shapes[3]], others[1], self.pair[0][before], self.pair[1][after], *others[2:]]
         total = self.unary[numbers[0]]
         for x in numbers[1:]:
             total += self.unary[x]
         return total
 
+    def scores(self, shape: np.ndarray, word: np.ndarray, line: np.ndarray, first: int, last: int) -> np.ndarray:
+        """Weights per tag of the tokens ``first`` to ``last``."""
+        return self.weights(shape, word, line, np.arange(first, last))
+
+    def undecided(self, shape: np.ndarray, word: np.ndarray, line: np.ndarray) -> np.ndarray:
+        """The tokens that the best path may give another tag than "O", in order."""
+        n = len(shape)
+        most = np.empty(n)
+        for first in range(0, n, BLOCK_TOKENS):
+            at = np.arange(first, min(n, first + BLOCK_TOKENS))
+            others, before, after = self.numbers(*self.around(shape, word, line, at))
+            bound = self.most_pair[0][before] + self.most_pair[1][after]
+            for x in others:
+                bound += self.most[x]
+            most[at] = bound
+        # What these looser bounds do not decide is bounded by the tokens' own weights.
+        unsure = detours(most)
+        for first in range(0, len(unsure), BLOCK_TOKENS):
+            at = unsure[first : first + BLOCK_TOKENS]
+            own = self.weights(shape, word, line, at)
+            most[at] = (own[:, 1:] - own[:, :1] + self.enter).max(axis=1)
+        return detours(most)
+
+
+def detours(most: np.ndarray) -> np.ndarray:
+    """Places that lie in a run whose sum is not below zero by more than sums in floats may be off."""
+    total = np.cumsum(most)
+    up_to = total - np.minimum.accumulate(np.concatenate([[0.0], total[:-1]]))
+    beyond = np.maximum.accumulate(total[::-1])[::-1] - total
+    slack = 1e-6 + len(most) * np.finfo(float).eps * np.abs(total).max(initial=0.0)
+    return np.flatnonzero(up_to + beyond >= -slack)
+
 
 def best_tags(chain: Chain, tables: Tables, shape: np.ndarray, word: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """The best tags of whole lines by Viterbi, all lines of a length going on side by side."""
-    n = len(shape)
-    tags = np.zeros(n, dtype=np.int8)
-    if not n:
+    """The best tags of whole lines: "O", and by Viterbi between tokens that are "O" for certain."""
+    tags = np.zeros(len(shape), dtype=np.int8)
+    at = tables.undecided(shape, word, line)
+    if not len(at):
         return tags
-    begins = np.flatnonzero(np.diff(line, prepend=-1))
+    begins = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (np.diff(line[at], prepend=-1) != 0))
+    cuts, ends = [0], [*begins[1:].tolist(), len(at)]
+    for a, b in zip(begins.tolist(), ends, strict=True):  # a run of more than a block goes alone
+        if b - cuts[-1] > BLOCK_TOKENS and a > cuts[-1]:
+            cuts.append(a)
+    for a, b in zip(cuts, [*cuts[1:], len(at)], strict=True):
+        inside = begins[(begins >= a) & (begins < b)] - a
+        tags[at[a:b]] = _viterbi(chain, tables, shape, word, line, at[a:b], inside)
+    return tags
+
+
+def _viterbi(chain: Chain, tables: Tables, shape, word, line, at: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The best tags of the tokens ``at``, whose runs begin at ``begins``, all runs of a length side by side.
+
+    The tokens next to a run within its line are "O".
+    """
+    n = len(at)
     lengths = np.diff(begins, append=n)
     order = np.argsort(-lengths, kind="stable")
     begins, lengths = begins[order], lengths[order]
+    heads, lasts = at[begins], at[begins + lengths - 1]
+    opens = (heads == 0) | (line[heads - 1] != line[heads])
+    closes = (lasts == len(line) - 1) | (line[np.minimum(lasts + 1, len(line) - 1)] != line[lasts])
+    entry = np.where(opens[:, None], chain.first, chain.pairs[0])
+    leaving = np.where(closes[:, None], 0.0, chain.pairs[:, 0])
     going = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right").tolist()
     came = np.zeros((n, len(chain.tags)), dtype=np.int8)
     into = np.ascontiguousarray(chain.pairs.T)
     finals = np.zeros(len(begins), dtype=np.int8)
     held = n <= BLOCK_TOKENS or len(begins) > 1
-    block = tables.scores(shape, word, line, 0, n) if held else None
+    block = tables.weights(shape, word, line, at) if held else None
     best = np.zeros((len(begins), len(chain.tags)))
     for t, k in enumerate(going):
         if held:
             own = block[begins[:k] + t]
-        else:  # one line, block by block
+        else:  # one run, block by block
             if t % BLOCK_TOKENS == 0:
-                block = tables.scores(shape, word, line, t, min(n, t + BLOCK_TOKENS))
+                block = tables.weights(shape, word, line, at[t : t + BLOCK_TOKENS])
             own = block[t % BLOCK_TOKENS][None]
         if t == 0:
-            best = chain.first + own
+            best = entry + own
         else:
             ended = going[t - 1]
             if k < ended:
-                finals[k:ended] = best[k:ended].argmax(axis=1)
+                finals[k:ended] = (best[k:ended] + leaving[k:ended]).argmax(axis=1)
             paths = best[:k, None, :] + into
             came[begins[:k] + t] = paths.argmax(axis=2)
             best = paths.max(axis=2) + own
-    finals[: len(best)] = best.argmax(axis=1)
-    now = finals.copy()
+    finals[: len(best)] = (best + leaving[: len(best)]).argmax(axis=1)
+    tags, now = np.zeros(n, dtype=np.int8), finals.copy()
     for t in range(len(going) - 1, -1, -1):
         k, longer = going[t], going[t + 1] if t + 1 < len(going) else 0
-        at = begins[:k] + t
-        now[:longer] = came[at[:longer] + 1, now[:longer]]
-        tags[at] = now[:k]
+        places = begins[:k] + t
+        now[:longer] = came[places[:longer] + 1, now[:longer]]
+        tags[places] = now[:k]
     return tags
 
 
