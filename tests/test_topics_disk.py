@@ -1,5 +1,7 @@
 import time
 
+import pyarrow as pa
+
 from stayscope.operators import topics
 from stayscope.storage import freed_shuffles
 
@@ -43,3 +45,23 @@ def test_own_weights_come_back_in_parts(monkeypatch, spark):
     whole = model()
     monkeypatch.setattr(topics, "PART_BYTES", 100)
     assert model() == whole
+
+
+def test_edges_of_a_block_in_several_rows(monkeypatch, spark):
+    """No row grows with its block, and the model is the same."""
+    rows = [("c", f"{d}", f"t{(d * 7 + j * j) % 40}", 1 + j % 3) for d in range(30) for j in range(12)]
+    edges = pa.table({"block": [7] * len(rows), **{n: [r[i] for r in rows] for i, n in enumerate(("corpus", "id", "term"))},
+                      "n": [float(r[3]) for r in rows]})
+    monkeypatch.setattr(topics, "ROW_EDGES", 100)
+    made = pa.Table.from_batches(list(topics._read_blocks(3, 1)(edges.to_batches())))
+    sizes = [len(x) for x in made.column("n").to_pylist() if x is not None]
+    assert sum(sizes) == len(rows) and max(sizes) == 100
+    counts = spark.createDataFrame(rows, "cohort string, id string, term string, n bigint")
+
+    def model():
+        fitted = topics.fit_topics(counts, k=3, rounds=2, corpus_col="cohort")
+        return {r.id: [round(x, 9) for x in r.w] for r in fitted.documents.collect()}
+
+    several = model()
+    monkeypatch.setattr(topics, "ROW_EDGES", 10_000)
+    assert model() == several
